@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound for broadcasting a dimension table (lexicon, location cache, blacklist, boundaries).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    Runs one small job (``limit(max_rows + 1).count()``). Beyond the bound the planner keeps a shuffle join and
+    AQE may still switch to a broadcast from runtime sizes, or split skewed partitions.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
