@@ -93,9 +93,10 @@ def whitelist_ledger(inp: Inputs, seq: int = 0) -> DataFrame:
 
 def run_whitelist(inp: Inputs, mode: str = "name", earlier: DataFrame | None = None) -> DataFrame:
     """Entry point A: the condensed whitelist (optionally appended to an earlier uncondensed ledger)."""
-    ledger = whitelist_ledger(inp)
     if earlier is not None:
-        ledger = W.append(ledger, earlier)
+        ledger = W.append(whitelist_ledger(inp, seq=1), earlier)
+    else:
+        ledger = whitelist_ledger(inp)
     return W.condense(ledger, mode)
 
 
