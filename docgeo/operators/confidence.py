@@ -34,10 +34,16 @@ def centroid_distance(doc_geo: DataFrame) -> DataFrame:
     are its distinct geocoded names, so a group is bounded by the location cache, not by the text length.
     """
     w = Window.partitionBy("doc_id")
-    f = F.col("frequency").cast("double")
+    f = F.col("frequency").cast("decimal(12,0)")
+    weight = F.sum("frequency").over(w).cast("double")
+
+    def wmean(c):
+        # exact decimal sum: independent of how rows were split across partitions, so runs (and engines) agree
+        return F.sum(F.col(c).cast("decimal(20,9)") * f).over(w).cast("double") / weight
+
     return (
-        doc_geo.withColumn("c_lat", F.sum(F.col("lat") * f).over(w) / F.sum(f).over(w))
-        .withColumn("c_lon", F.sum(F.col("lon") * f).over(w) / F.sum(f).over(w))
+        doc_geo.withColumn("c_lat", wmean("lat"))
+        .withColumn("c_lon", wmean("lon"))
         .withColumn(
             "distance_km",
             F.round(haversine_km(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")), DISTANCE_DECIMALS),

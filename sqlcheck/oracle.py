@@ -161,8 +161,11 @@ def pipeline(p: str, src: str, lex: str = "lexicon", threshold: str = "0.3e0", r
 {p}cd AS (SELECT *, round({2 * 6378.137}e0 * asin(least(1e0, sqrt(
         pow(sin((c_lat - lat) * {RAD} / 2), 2) + cos(lat * {RAD}) * cos(c_lat * {RAD}) * pow(sin((c_lon - lon) * {RAD} / 2), 2)))), 6)
         AS distance_km
-    FROM (SELECT *, sum(lat * frequency) OVER w / sum(frequency) OVER w AS c_lat,
-                    sum(lon * frequency) OVER w / sum(frequency) OVER w AS c_lon
+    FROM (SELECT *,
+        CAST(sum(CAST(lat AS DECIMAL(20, 9)) * CAST(frequency AS DECIMAL(12, 0))) OVER w AS DOUBLE)
+            / CAST(sum(frequency) OVER w AS DOUBLE) AS c_lat,
+        CAST(sum(CAST(lon AS DECIMAL(20, 9)) * CAST(frequency AS DECIMAL(12, 0))) OVER w AS DOUBLE)
+            / CAST(sum(frequency) OVER w AS DOUBLE) AS c_lon
           FROM {p}filtered WINDOW w AS (PARTITION BY doc_id))),
 {p}dd AS (SELECT doc_id, distance_km AS d, count(*) AS m FROM {p}cd GROUP BY ALL),
 {p}dstat AS (SELECT doc_id, sum(m) AS n_rows, count(*) AS n_distinct, sum(m * d) / sum(m) AS mean FROM {p}dd GROUP BY doc_id),
