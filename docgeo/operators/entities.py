@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from docgeo.functions.joins import bounded_broadcast
 from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank, ngram_spans, tokens
-from docgeo.session import cut_lineage
 
 # Entity tags the workflow keeps as places.
 PLACE_TAGS = ("LOC", "GPE")
@@ -74,47 +73,40 @@ def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:
     """Leftmost-longest choice among overlapping candidate spans, per document and model.
 
     Scanning left to right, a span is kept when it starts at or after the end of the last kept span; among spans
-    with one start the longest wins. Exact and without collecting a document: a span's only possible blockers
-    start fewer than ``max_n`` tokens earlier, so the overlap graph is built with equi-joins on
-    (doc_id, model_rank, pos), and decisions propagate in rounds (a span is dropped as soon as one overlapping
-    predecessor is kept, kept once all of them are dropped). Rounds = longest chain of overlapping spans; each
-    round's state is checkpointed. Spans without overlap never enter the loop.
+    with one start the longest wins. The scan restarts wherever no earlier span reaches past a start, so spans are
+    cut into runs of overlapping spans (running maximum of ends, a sort-based window that streams and spills).
+    A run of one span, which is almost every span, is kept as is; only runs of several spans are folded, one
+    group per run (never per document), with ``F.aggregate`` over the run's spans in start order.
     """
     by_start = Window.partitionBy(*KEY, "pos").orderBy(F.desc("len"), F.asc("lemma"), F.asc("entity_type"))
     best = candidates.withColumn("_r", F.row_number().over(by_start)).where("_r = 1").drop("_r")
     if max_n <= 1:
         return best
-    best = cut_lineage(best)  # the text is tokenised once; the rounds below read the written hits
-    spans = best.select(*KEY, "pos", (F.col("pos") + F.col("len")).alias("end"))
-    probes = spans.select(*KEY, "pos", F.explode(F.sequence(F.lit(1), F.lit(max_n - 1))).alias("d")).select(
-        *KEY, "pos", (F.col("pos") - F.col("d")).alias("pred_pos")
+    order = Window.partitionBy(*KEY).orderBy("pos")
+    reach = F.max(F.col("pos") + F.col("len")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (
+        best.select(*KEY, "pos", "len")
+        .withColumn("_new", F.coalesce((F.col("pos") >= reach).cast("int"), F.lit(1)))
+        .withColumn("run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("run_size", F.count(F.lit(1)).over(Window.partitionBy(*KEY, "run")))
     )
-    preds = spans.select(*KEY, F.col("pos").alias("pred_pos"), F.col("end").alias("pred_end"))
-    edges = cut_lineage(
-        probes.join(preds, KEY + ["pred_pos"]).where(F.col("pred_end") > F.col("pos")).select(*KEY, "pos", "pred_pos")
-    )
-    dependent = edges.select(*KEY, "pos").distinct()
-    roots = edges.select(*KEY, F.col("pred_pos").alias("pos")).distinct().join(dependent, KEY + ["pos"], "left_anti")
-    status = cut_lineage(roots.withColumn("kept", F.lit(True)))
-    pending = cut_lineage(dependent)
-    while not pending.isEmpty():
-        pred_status = status.select(*KEY, F.col("pos").alias("pred_pos"), F.col("kept").alias("pred_kept"))
-        votes = (
-            edges.join(pending, KEY + ["pos"], "left_semi")
-            .join(pred_status, KEY + ["pred_pos"], "left")
-            .groupBy(*KEY, "pos")
-            .agg(
-                F.max(F.coalesce(F.col("pred_kept").cast("int"), F.lit(0))).alias("any_kept"),
-                F.sum(F.col("pred_kept").isNull().cast("int")).alias("n_open"),
-            )
-        )
-        decided = cut_lineage(
-            votes.where("any_kept = 1 OR n_open = 0").select(*KEY, "pos", (F.col("any_kept") == 0).alias("kept"))
+    single = runs.where("run_size = 1").select(*KEY, "pos")
+
+    def step(acc, sp):
+        take = sp["pos"] >= acc["end"]
+        return F.struct(
+            F.when(take, sp["pos"] + sp["len"]).otherwise(acc["end"]).alias("end"),
+            F.when(take, F.concat(acc["kept"], F.array(sp["pos"]))).otherwise(acc["kept"]).alias("kept"),
         )
-        status = cut_lineage(status.unionByName(decided))
-        pending = cut_lineage(pending.join(decided, KEY + ["pos"], "left_anti"))
-    dropped = status.where(~F.col("kept")).select(*KEY, "pos")
-    return best.join(dropped, KEY + ["pos"], "left_anti")
+
+    start = F.struct(F.lit(-1).alias("end"), F.array().cast("array<int>").alias("kept"))
+    folded = (
+        runs.where("run_size > 1")
+        .groupBy(*KEY, "run")
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "len"))).alias("spans"))
+        .select(*KEY, F.explode(F.aggregate("spans", start, step)["kept"]).alias("pos"))
+    )
+    return best.join(single.unionByName(folded), KEY + ["pos"], "left_semi")
 
 
 def keep_tags(mentions: DataFrame, tags: Sequence[str] = PLACE_TAGS) -> DataFrame:
