@@ -120,7 +120,7 @@ def combine_models(mentions: DataFrame) -> DataFrame:
     the smallest rank that produced its token. The minimum is a pre-aggregated semi join, safe for hot tokens.
     """
     first = mentions.groupBy("doc_id", "token").agg(F.min("model_rank").alias("model_rank"))
-    return mentions.join(first, ["doc_id", "token", "model_rank"], "left_semi")
+    return mentions.join(first, ["doc_id", "token", "model_rank"], "left_semi").select(*mentions.columns)
 
 
 def clean_names(mentions: DataFrame) -> DataFrame:

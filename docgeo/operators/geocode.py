@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docgeo.functions.joins import bounded_broadcast
 from docgeo.functions.text import strip_braces
 from docgeo.schemas import DOC_GEO_COLUMNS, LOCATION_CACHE_COLUMNS, LOCATION_CACHE_SCHEMA
-from docgeo.session import ship_package
+from docgeo.session import cut_lineage, ship_package
 
 
 def _best_order():
@@ -106,7 +106,9 @@ def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | No
     Misses are collected over the whole corpus, resolved once, merged into the cache, and every document's names
     are joined to the merged cache.
     """
-    names = strip_name_braces(doc_location)
+    # names and the merged cache are written once (the cache is persisted by the workflow anyway): the size check
+    # of the cache and every later use read the written tables instead of re-running the extraction
+    names = cut_lineage(strip_name_braces(doc_location))
     misses = cache_misses(names, cache)
     if resolver is not None:
         resolved = resolve_with(misses, resolver)
@@ -114,5 +116,5 @@ def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | No
         resolved = resolve_offline(misses, gazetteer)
     else:
         resolved = cache.limit(0)
-    new_cache = update_cache(cache, resolved)
+    new_cache = cut_lineage(update_cache(cache, resolved))
     return attach_coordinates(names, new_cache), new_cache, unresolved_names(names, new_cache)
