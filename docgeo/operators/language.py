@@ -54,10 +54,12 @@ def relevant_languages(
         "model_rank",
         F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("proportion"), F.asc("code"))),
     ).select("doc_id", "code", "model_rank")
-    missing = docs.select("doc_id").join(ranked, "doc_id", "left_anti").select(
-        "doc_id", F.lit(default).alias("code"), F.lit(1).alias("model_rank")
+    # one left join from the document ids (a two-column scan) fills in the default: detection runs once
+    return docs.select("doc_id").join(ranked, "doc_id", "left").select(
+        "doc_id",
+        F.coalesce(F.col("code"), F.lit(default)).alias("code"),
+        F.coalesce(F.col("model_rank"), F.lit(1)).alias("model_rank"),
     )
-    return ranked.unionByName(missing)
 
 
 def given_language(docs: DataFrame, code: str | None = None, column: str = "lang") -> DataFrame:
