@@ -125,25 +125,56 @@ def choose_cut(d: np.ndarray, m: np.ndarray, max_k: int = MAX_K, gain: float = G
     return float(d[b - 1])
 
 
-def _cuts(max_k: int, gain: float):
-    def per_doc(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("distance_km")
-        cut = choose_cut(pdf["distance_km"].to_numpy(float), pdf["m"].to_numpy(float), max_k, gain)
-        return pd.DataFrame({"doc_id": [pdf["doc_id"].iloc[0]], "cut": [cut]})
+def _cuts_of(pdf: pd.DataFrame, max_k: int, gain: float) -> pd.DataFrame:
+    """Cut per document for rows sorted by (doc_id, distance_km)."""
+    doc = pdf["doc_id"].to_numpy()
+    d = pdf["distance_km"].to_numpy(float)
+    m = pdf["m"].to_numpy(float)
+    bounds = (np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist()
+    starts, ends = [0] + bounds, bounds + [len(doc)]
+    cuts = [choose_cut(d[a:b], m[a:b], max_k, gain) for a, b in zip(starts, ends)]
+    return pd.DataFrame({"doc_id": doc[starts], "cut": cuts})
+
+
+def _cut_batches(max_k: int, gain: float):
+    """mapInPandas body over rows partitioned by doc_id and sorted by (doc_id, distance): many documents per Arrow
+    batch; a document cut by a batch boundary is carried into the next batch."""
+
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if len(pdf) == 0:
+                continue
+            last = pdf["doc_id"].iloc[-1]
+            tail = (pdf["doc_id"] == last).to_numpy()
+            carry = pdf[tail]
+            done = pdf[~tail]
+            if len(done):
+                yield _cuts_of(done, max_k, gain)
+        if carry is not None and len(carry):
+            yield _cuts_of(carry, max_k, gain)
 
-    return per_doc
+    return run
 
 
 def cluster_confidence(doc_geo: DataFrame, max_k: int = MAX_K, gain: float = GAIN) -> DataFrame:
     """doc_geo + c_lat, c_lon, distance_km, confidence (1.0 inside the cluster nearest the centroid, else 0.0).
 
-    Python sees only (doc_id, distinct distance, multiplicity) through Arrow, one group per document; the cut
-    comes back as one row per document and is joined on doc_id.
+    Python sees only (doc_id, distinct distance, multiplicity) through Arrow: the rows are hash-partitioned by
+    doc_id and sorted, and each Arrow batch carries many documents (no per-group round trip). A document's group
+    is its distinct geocoded distances, bounded by the location cache. The cut comes back as one row per document
+    and is joined on doc_id.
     """
     ship_package(doc_geo.sparkSession)
     d = centroid_distance(doc_geo)
     groups = d.groupBy("doc_id", "distance_km").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    cuts = groups.groupBy("doc_id").applyInPandas(_cuts(max_k, gain), "doc_id long, cut double")
+    cuts = (
+        groups.repartition("doc_id")
+        .sortWithinPartitions("doc_id", "distance_km")
+        .mapInPandas(_cut_batches(max_k, gain), "doc_id long, cut double")
+    )
     return d.join(cuts, "doc_id").withColumn(
         "confidence", F.when(F.col("distance_km") <= F.col("cut"), F.lit(1.0)).otherwise(F.lit(0.0))
     ).drop("cut")

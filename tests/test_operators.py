@@ -197,3 +197,27 @@ def test_empty_corpus(spark):
     df = spark.createDataFrame([], GEO)
     out = C.cluster_confidence(df)
     assert out.count() == 0 and "confidence" in out.columns
+
+
+def test_confidence_independent_of_arrow_batch_size(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for doc in range(12):
+        for j in range(int(rng.integers(1, 9))):
+            rows.append((doc, f"p{j}", int(rng.integers(1, 5)), float(rng.uniform(-60, 60)), float(rng.uniform(-170, 170)),
+                         "place", "city", 0.5))
+    df = spark.createDataFrame(rows, GEO)
+    base = sorted(tuple(r) for r in C.cluster_confidence(df).select("doc_id", "query", "confidence").collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        small = sorted(tuple(r) for r in C.cluster_confidence(df).select("doc_id", "query", "confidence").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert small == base
+    # and equal to the per-document cut computed directly
+    pdf = C.centroid_distance(df).toPandas()
+    for doc, g in pdf.groupby("doc_id"):
+        vals = g.groupby("distance_km").size()
+        cut = C.choose_cut(vals.index.to_numpy(float), vals.to_numpy(float))
+        want = {q: (1.0 if dk <= cut else 0.0) for q, dk in zip(g["query"], g["distance_km"])}
+        assert {(q, c) for dd, q, c in base if dd == doc} == set(want.items())
