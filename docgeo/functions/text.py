@@ -19,26 +19,6 @@ def tokens(text: str | Column, pattern: str = WORD_PATTERN) -> Column:
     return F.regexp_extract_all(col_(text), F.lit(pattern), 0)
 
 
-def ngram_spans(toks: str | Column, max_n: int) -> Column:
-    """ARRAY<STRUCT<pos INT, len INT, gram STRING>>: every run of 1..max_n consecutive tokens, joined by one blank.
-
-    Built in one projection per row, so exploding it needs no shuffle and never copies the token array per row.
-    """
-    toks = col_(toks)
-    def span(n: int):
-        # a one-argument lambda: PySpark reads a two-argument one as (element, index)
-        return lambda i: F.struct(
-            i.cast("int").alias("pos"), F.lit(n).alias("len"), F.array_join(F.slice(toks, i + 1, n), " ").alias("gram")
-        )
-
-    parts = []
-    for n in range(1, max_n + 1):
-        grams = F.transform(F.sequence(F.lit(0), F.size(toks) - n), span(n))
-        # sequence(0, -1) would count downwards: guard texts shorter than n tokens
-        parts.append(F.when(F.size(toks) >= n, grams))
-    return F.flatten(F.filter(F.array(*parts), lambda a: a.isNotNull()))
-
-
 def newline_to_blank(c: str | Column) -> Column:
     return F.regexp_replace(col_(c), "\n", " ")
 

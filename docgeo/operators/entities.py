@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgeo.functions.joins import bounded_broadcast
-from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank, ngram_spans, tokens
+from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank, tokens
 
 # Entity tags the workflow keeps as places.
 PLACE_TAGS = ("LOC", "GPE")
@@ -39,6 +39,29 @@ def longest_entry(lexicon: DataFrame, pattern: str = WORD_PATTERN) -> int:
     return int(row[0] or 1)
 
 
+def ngrams(docs: DataFrame, max_n: int, pattern: str = WORD_PATTERN) -> DataFrame:
+    """(doc_id, pos, len, gram) for every run of 1..max_n consecutive tokens, joined by one blank.
+
+    Built from native expressions only (no per-element lambdas, which run interpreted): the token array is zipped
+    with its shifted copies, exploded with positions, and each row yields its n-grams by ``concat``. Rows stay in
+    the scan's partitions (no shuffle).
+    """
+    toks = F.col("toks")
+    shifted = [F.slice(toks, k + 1, F.greatest(F.size(toks) - k, F.lit(0))).alias(f"t{k}") for k in range(max_n)]
+    z = docs.select("doc_id", tokens("text", pattern).alias("toks")).select("doc_id", *shifted)
+    z = z.select("doc_id", F.posexplode(F.arrays_zip(*[F.col(f"t{k}") for k in range(max_n)])).alias("pos", "z"))
+    spans = [
+        F.struct(F.lit(n).alias("len"), F.concat_ws(" ", *[F.col(f"z.t{k}") for k in range(n)]).alias("gram"),
+                 F.col(f"z.t{n - 1}").isNotNull().alias("ok"))
+        for n in range(1, max_n + 1)
+    ]
+    return (
+        z.select("doc_id", "pos", F.explode(F.array(*spans)).alias("g"))
+        .where(F.col("g.ok"))
+        .select("doc_id", "pos", F.col("g.len").alias("len"), F.col("g.gram").alias("gram"))
+    )
+
+
 def tag_entities(
     docs: DataFrame,
     languages: DataFrame,
@@ -56,12 +79,7 @@ def tag_entities(
     if max_n is None:
         max_n = longest_entry(lexicon, pattern)
     lex = bounded_broadcast(prepare_lexicon(lexicon, pattern))
-    # the token array is a column of its own, so the n-gram lambdas read it instead of re-running the regex
-    grams = (
-        docs.select("doc_id", tokens("text", pattern).alias("toks"))
-        .select("doc_id", F.explode(ngram_spans(F.col("toks"), max_n)).alias("g"))
-        .select("doc_id", "g.pos", "g.len", "g.gram")
-    )
+    grams = ngrams(docs, max_n, pattern)
     hits = grams.join(lex, ["gram", "len"])
     chosen = languages.select("doc_id", F.col("code").alias("lang"), "model_rank")
     return hits.join(chosen, ["doc_id", "lang"]).select(

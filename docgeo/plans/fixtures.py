@@ -15,7 +15,6 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docgeo.session import checkpoint_root
 
@@ -273,5 +272,3 @@ class Fixtures:
     def bilingual_documents(self) -> DataFrame:
         return _bilingual_documents(self.documents())
 
-
-BOUNDARY_TYPE = T.ArrayType(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,22 +13,12 @@ from docgeo.schemas import BLACKLIST_SCHEMA, LOCATION_CACHE_COLUMNS, LOCATION_CA
 CURRENT = "_CURRENT"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def _read_pointer(spark: SparkSession, root: str) -> str | None:
-    ptr = f"{root.rstrip('/')}/{CURRENT}"
-    if not _exists(spark, ptr):
+    """Name of the current cache version, or None when no version was saved yet."""
+    try:
+        rows = spark.read.text(f"{root.rstrip('/')}/{CURRENT}").collect()  # one tiny pointer file
+    except AnalysisException:
         return None
-    rows = spark.read.text(ptr).collect()  # one tiny pointer file
     return json.loads(rows[0][0])["version"] if rows else None
 
 
@@ -58,7 +49,8 @@ def save_location_cache(spark: SparkSession, cache: DataFrame, root: str) -> str
 def read_blacklist(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
         return spark.read.option("header", True).schema(BLACKLIST_SCHEMA).csv(path)
-    return spark.read.parquet(path).select("location", *[c for c in ("lat", "lon") if c in spark.read.parquet(path).columns])
+    df = spark.read.parquet(path)
+    return df.select("location", *[c for c in ("lat", "lon") if c in df.columns])
 
 
 def read_whitelist(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
