@@ -67,3 +67,18 @@ def test_incremental_two_batches_equal_one_shot(spark, tmpdir_path):
     cols = ["id", "location", "frequency", "lat", "lon", "class", "type", "country", "continent"]
     r = lambda df: sorted(tuple(x) for x in df.select(*cols, F.round("confidence", 9)).collect())
     assert r(inc) == r(one)
+
+
+def test_sample_accessors(spark):
+    fx = Fixtures(spark, SF001)
+    inp = _inputs(fx)
+    geo = P.geocoded(inp)[0]
+    assert {r.doc_id for r in P.coordinates_of(geo, 2).collect()} <= {2}
+    from docgeo.operators import language as L
+    langs = L.detect_languages(fx.corpus(), fx.language_profile())
+    rows = P.languages_of(langs, 2).collect()
+    assert rows and abs(sum(r.proportion for r in rows) - 1.0) < 1e-9
+    meta = P.run_metadata(fx.report_documents())
+    assert P.metadata_of(meta, 0).first().grade == "Note: 0"
+    assert P.field_of_all(meta, "grade").columns == ["doc_id", "grade"]
+    assert all(len(r.preview) <= 1000 for r in P.text_preview(fx.documents()).collect())
