@@ -43,7 +43,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         root = tempfile.mkdtemp(prefix="docgeo-ckpt-")
         sc.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - a session may refuse to change it at runtime; the context has it
+            pass
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
