@@ -82,3 +82,18 @@ def test_sample_accessors(spark):
     assert P.metadata_of(meta, 0).first().grade == "Note: 0"
     assert P.field_of_all(meta, "grade").columns == ["doc_id", "grade"]
     assert all(len(r.preview) <= 1000 for r in P.text_preview(fx.documents()).collect())
+
+
+def test_boundaries_from_wkt(spark):
+    from docgeo.operators import enrich as N
+
+    wkt = spark.createDataFrame(
+        [(1, "A", "X", "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))")],
+        "poly_id int, country string, continent string, wkt string",
+    )
+    b = tables.boundaries_from_wkt(wkt)
+    rings = b.first().rings
+    assert len(rings) == 2 and (rings[0][1].x, rings[0][1].y) == (10.0, 0.0)
+    pts = spark.createDataFrame([(1.0, 1.0), (5.0, 5.0)], "lat double, lon double")
+    out = {(r.lat, r.lon): r.country for r in N.locate_points(pts, b).collect()}
+    assert out == {(1.0, 1.0): "A", (5.0, 5.0): None}
