@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     """Consecutive slices of ``batch`` whose ``column`` holds about ``limit`` bytes (one row at least)."""
     lengths = batch.column(batch.schema.get_field_index(column))
     start, size = 0, 0
-    for i, v in enumerate(pa.compute.binary_length(lengths).to_pylist()):
+    for i, v in enumerate(pc.binary_length(lengths).to_pylist()):
         if i > start and size + (v or 0) > limit:
             yield batch.slice(start, i - start)
             start, size = i, 0
