@@ -60,3 +60,19 @@ def lower_ascii(c: Column | str) -> Column:
 def uniform_hash(*cols: Column) -> Column:
     """A number in [0, 1) that depends on the values only (not on partitions or runs)."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(1 << 53))
+
+
+def cells(rows: DataFrame, key: list[str], item: str, limit: int, name: str) -> DataFrame:
+    """Cut the groups of ``key`` into cells of at most about ``2 * limit`` rows that together hold every pair of a group.
+
+    A group of more than ``limit`` rows is split into shards by a hash of ``item``; shard ``low`` and shard ``high`` meet in
+    cell ``(low, high)``. Adds ``low, high, side``: 0 for rows of shard low, 1 for those of shard high, 2 where both are one.
+    """
+    crowded = written(
+        rows.groupBy(*key).count().filter(F.col("count") > limit).select(*key, F.ceil(F.col("count") / limit).cast("int").alias("shards")), name
+    )
+    shards = F.coalesce("shards", F.lit(1))
+    split = rows.join(crowded, key, "left").withColumns({"shards": shards, "own": F.pmod(F.xxhash64(item), shards).cast("int")})
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return split.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other"), "side": side}).drop("shards", "own", "other")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgeo.llm import bpe, simhash
+from docgeo.llm import bpe, linededup, simhash
 from docgeo.llm.common import table
 
 
@@ -29,9 +29,15 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and fate of every line of all documents: 2 edits or fewer apart, 16 characters or more."""
+    return linededup.line_classes(table(spark, sf_dir, "documents"), edits=2, min_chars=16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op5_bpe": op5_bpe,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 # DuckDB SQL for the queries that SQL can express; the others are tested against brute force in tests/llm.
