@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgeo.llm import bpe, linededup, simhash
+from docgeo.llm import bpe, langid, linededup, mixing, simhash
 from docgeo.llm.common import table
 
 
@@ -18,6 +18,25 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated weight, probability and fate of every document under the default mix."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.sample(mixing.labelled(docs, [docs["doc_id"]]), F.col("doc_id"), mixing.Mix())
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every web page (all evidence) and of every document (text and source)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = langid.train(docs)
+    none = F.lit(None).cast("long")
+    of_pages = langid.page_evidence(F.col("url"), F.col("html"))
+    of_docs = langid.document_evidence(F.col("text"), F.col("source"))
+    rows = docs.select("doc_id", none.alias("page_id"), *[c.alias(k) for k, c in of_docs.items()]).unionByName(
+        pages.select(none.alias("doc_id"), "page_id", *[c.alias(k) for k, c in of_pages.items()])
+    )
+    return langid.identify(rows, model, ["doc_id", "page_id"])
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of the ids and of the decoded text."""
     out = bpe.bpe_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -36,6 +55,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_mixing": op3_mixing,
+    "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
