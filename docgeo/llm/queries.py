@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgeo.llm import bpe, langid, linededup, mixing, simhash
+from docgeo.llm import bpe, langid, linededup, mixing, quality, secrets, simhash, warc
 from docgeo.llm.common import table
+from docgeo.session import new_table_path
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +49,30 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of the rule cascade for every document."""
+    out = quality.quality(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as WARC archives in the shared folder, read them back, one row per record."""
+    path = new_table_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(-?[0-9]*)>$", 1), F.lit("")).cast("long")
+    return warc.read_archives(spark, path).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to")
+    )
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base spans, and all spans."""
+    out = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    n = [secrets.count_kind("spans", k).alias(f"n_{k}") for k in secrets.KINDS[:3]]
+    base = secrets.span_list(F.filter("spans", lambda x: x["rank"] < 3))
+    return out.select("doc_id", *n, F.sha2(base, 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and fate of every line of all documents: 2 edits or fewer apart, 16 characters or more."""
     return linededup.line_classes(table(spark, sf_dir, "documents"), edits=2, min_chars=16)
@@ -58,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
+    "op6_quality": op6_quality,
+    "op8_warc": op8_warc,
+    "op9_secrets": op9_secrets,
     "op10_line_dedup": op10_line_dedup,
 }
 
