@@ -268,7 +268,8 @@ def line_links(docs: DataFrame, edits: int, min_chars: int, text: str = "text")
     met = written(map_arrow(posted.repartition("key").sortWithinPartitions(*order).select("key", "line", "probe"), _meetings, "key long, line long, probe long"), "lines-met")
     wanted = written(met.select("line").distinct(), "lines-wanted")
     lines = whole.select(F.explode(F.split("text", "\n")).alias("text")).filter(F.length("text") >= min_chars)
-    texts = lines.withColumn("line", F.xxhash64("text")).join(wanted, "line").groupBy("line").agg(F.min("text").alias("text"))
+    # the wanted lines grow with the corpus, so they are never broadcast
+    texts = lines.withColumn("line", F.xxhash64("text")).join(wanted.hint("merge"), "line").groupBy("line").agg(F.min("text").alias("text"))
     grid = cells(met, ["key"], "line", CELL, "lines-crowded").join(texts, "line")
     cell = ["key", "low", "high"]
     rows = grid.repartition(*cell).sortWithinPartitions(*cell).select(*cell, "line", "text", "probe", "side")
