@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgeo.llm import bpe, langid, linededup, mixing, quality, secrets, simhash, warc
+from docgeo.llm import bpe, langid, linededup, mixing, quality, secrets, simhash, toxicity, warc
 from docgeo.llm.common import table
 from docgeo.session import new_table_path
 
@@ -55,6 +55,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels that are not held out."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC archives in the shared folder, read them back, one row per record."""
     path = new_table_path(spark, "warc")
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_line_dedup": op10_line_dedup,
