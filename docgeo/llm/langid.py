@@ -194,5 +194,6 @@ def keep_known_languages(docs: DataFrame, model: np.ndarray, text: str = "text",
     row = F.xxhash64(docs[text], docs[source])
     evidence = document_evidence(docs[text], docs[source])
     judged = identify(docs.select(row.alias("_row"), *[c.alias(k) for k, c in evidence.items()]), model, ["_row"])
+    judged = written(judged.select("_row", "accepted"), "langid-judged")  # else the filter's condition would be unfolded into all the scores
     gone = written(judged.filter(~F.col("accepted")).select("_row").distinct(), "langid-rejected")
     return docs.join(gone, row == gone["_row"], "left_anti")
