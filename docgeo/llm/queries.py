@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgeo.llm import bpe, langid, linededup, mixing, quality, secrets, simhash, toxicity, warc
+from docgeo.llm import ann, bpe, langid, linededup, mixing, quality, secrets, simhash, toxicity, warc
 from docgeo.llm.common import table
 from docgeo.session import new_table_path
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every vector whose id is divisible by 20."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, 4 bits or fewer apart."""
     out = simhash.simhash_classes(table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -84,6 +89,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
