@@ -27,10 +27,10 @@ from docgeo.llm.common import map_arrow, slices
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Distinct words kept encoded in a worker; beyond it the memo starts anew (memory only, results are the same).
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 18
 
 # Bytes of text whose words are merged through one index.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 # A pair with so many positions is merged at all of them by vector operations.
 VECTOR_FROM = 24

@@ -15,6 +15,10 @@ from docgeo.session import new_table_path, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
+# Bytes of an Arrow batch that goes to a Python worker, unless the session sets its own: long texts make large batches.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 # Rows that leave a Python worker at once, by bytes of text: bounds a worker's memory whatever the text lengths.
 SLICE_BYTES = 4 << 20
 
@@ -34,8 +38,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package at hand on the workers."""
+    """``mapInArrow`` with the package at hand on the workers and batches of bounded size."""
     ship_package(df.sparkSession)
+    if df.sparkSession.conf.get(_BATCH_CONF, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        df.sparkSession.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 
