@@ -324,7 +324,7 @@ def drop_duplicate_lines(docs: DataFrame, edits: int = 2, min_chars: int = 16, k
     """
     gone = line_classes(docs, edits, min_chars, key, text).filter(~F.col("kept"))
     gone = written(gone.groupBy(F.col(key).alias("_key")).agg(F.collect_set("line_no").alias("_gone")), "lines-gone")
-    joined = docs.join(gone, docs[key] == gone["_key"], "left")
+    joined = docs.join(gone.hint("merge"), docs[key] == gone["_key"], "left")  # grows with the corpus: never broadcast
     left = F.when(gone["_gone"].isNull(), docs[text]).otherwise(without_lines(docs[text], gone["_gone"]))
     columns = [left.alias(c) if c == text else docs[c] for c in docs.columns]
     return joined.filter(gone["_gone"].isNull() | left.rlike(r"[^\x20\x09-\x0D]")).select(*columns)

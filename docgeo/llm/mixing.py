@@ -48,16 +48,20 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def labelled(docs: DataFrame, keys: list[Column], text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
-    """``keys`` and ``source, lang, topic, tokens`` (words of the whole text) of every document; a null source is ``other``."""
+def labels(docs: DataFrame, text: str = "text", source: str = "source", lang: str = "lang") -> dict[str, Column]:
+    """``source, lang, topic, tokens`` (words of the whole text) of a document; a null source is ``other``."""
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
-    return docs.select(
-        *keys,
-        F.coalesce(docs[source].cast("string"), F.lit(OTHER)).alias("source"),
-        docs[lang].cast("string").alias("lang"),
-        topic_of(body).alias("topic"),
-        F.regexp_count(body, F.lit(WORD)).cast("long").alias("tokens"),
-    )
+    return {
+        "source": F.coalesce(docs[source].cast("string"), F.lit(OTHER)),
+        "lang": docs[lang].cast("string"),
+        "topic": topic_of(body),
+        "tokens": F.regexp_count(body, F.lit(WORD)).cast("long"),
+    }
+
+
+def labelled(docs: DataFrame, keys: list[Column], **names: str) -> DataFrame:
+    """``keys`` and the labels of every document."""
+    return docs.select(*keys, *[c.alias(k) for k, c in labels(docs, **names).items()])
 
 
 def _targets(wanted: dict[str, float], names: list[str], found: np.ndarray) -> np.ndarray:
@@ -146,6 +150,12 @@ def fit(rows: DataFrame, mix: Mix) -> Fit:
     return Fit(sources.select("source", "factor"), dict(zip(langs, b.tolist(), strict=True)), dict(zip(topics, c.tolist(), strict=True)), scale, rounds, float(residual))
 
 
+def scaled_weight(done: Fit, label: dict[str, Column], factor: Column) -> Column:
+    """The sampling probability before it is cut at 1; 0 without tokens."""
+    by = lambda c, given: F.coalesce(*[F.when(label[c] == n, F.lit(float(x))) for n, x in given.items() if n != OTHER], F.lit(float(given[OTHER])))
+    return F.when(label["tokens"] > 0, F.round(factor * by("lang", done.languages) * by("topic", done.topics) * done.scale, 9)).otherwise(0.0)
+
+
 def sample(rows: DataFrame, key: Column, mix: Mix) -> DataFrame:
     """``rows`` with ``weight`` (relative to an even sample), ``probability`` and ``sampled``.
 
@@ -155,16 +165,20 @@ def sample(rows: DataFrame, key: Column, mix: Mix) -> DataFrame:
     """
     rows = written(rows, "mixing-rows")
     done = fit(rows, mix)
-    factor = lambda c, by: F.coalesce(*[F.when(F.col(c) == n, F.lit(float(x))) for n, x in by.items() if n != OTHER], F.lit(float(by[OTHER])))
     known = rows.join(done.sources, "source", "left")
-    weight = F.when(F.col("tokens") > 0, F.col("factor") * factor("lang", done.languages) * factor("topic", done.topics) * done.scale).otherwise(0.0)
-    known = known.withColumn("weight", F.round(weight / mix.keep, 9)).withColumn("probability", F.least(F.lit(1.0), F.round(weight, 9)))
-    return known.drop("factor").withColumn("sampled", uniform_hash(key, F.lit(mix.seed)) < F.col("probability"))
+    known = known.withColumn("_p", scaled_weight(done, {c: F.col(c) for c in ("source", "lang", "topic", "tokens")}, F.col("factor"))).drop("factor")
+    known = known.withColumns({"weight": F.round(F.col("_p") / mix.keep, 9), "probability": F.least(F.lit(1.0), "_p")}).drop("_p")
+    return known.withColumn("sampled", uniform_hash(key, F.lit(mix.seed)) < F.col("probability"))
 
 
 def draw(docs: DataFrame, mix: Mix, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
-    """The sampled rows of ``docs``, all columns. Rows are told apart by key and text, so null keys are drawn like others."""
-    row = F.xxhash64(docs[key], docs[text])
-    chosen = sample(labelled(docs, [row.alias("_row")], text, source, lang), F.col("_row"), mix)
-    gone = written(chosen.filter(~F.col("sampled")).select("_row").distinct(), "mixing-gone")
-    return docs.join(gone, row == gone["_row"], "left_anti")
+    """The sampled rows of ``docs``, all columns. Rows are told apart by key and text, so null keys are drawn like others.
+
+    The texts are read twice (to fit, then to draw) and never shuffled: a row meets its source's factor only.
+    """
+    label = labels(docs, text, source, lang)
+    done = fit(docs.select(*[c.alias(k) for k, c in label.items()]), mix)
+    factors = done.sources.select(F.col("source").alias("_of"), "factor")
+    chosen = docs.join(factors, label["source"] == factors["_of"], "left")
+    chance = F.coalesce(scaled_weight(done, label, factors["factor"]), F.lit(0.0))
+    return chosen.filter(uniform_hash(F.xxhash64(docs[key], docs[text]), F.lit(mix.seed)) < chance).select(*[docs[c] for c in docs.columns])
