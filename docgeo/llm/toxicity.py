@@ -54,8 +54,20 @@ def _presence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(toxic, pa.int32())], names=["term", "toxic"])
 
 
+def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of the batch that hold each term: at most TERMS rows."""
+    for batch in batches:
+        counts = np.bincount(np.asarray(batch.column(0).flatten(), dtype=np.int64))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["term", "n"])
+
+
 def choose_terms(sample: DataFrame) -> list[bytes]:
-    """At most TERMS terms of ``sample`` (text, toxic) that depend on the label, the most significant first."""
+    """At most TERMS terms of ``sample`` (text, toxic) that depend on the label, the most significant first.
+
+    Copies of a text count once: they are one observation, however often it was copied.
+    """
+    sample = sample.dropDuplicates(["text", "toxic"])
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
     if not n1 or not n0:
@@ -273,7 +285,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     words = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kind = docs.schema[key].dataType.simpleString()
     vectors = written(map_arrow(rows, _vectors(words), f"key {kind}, terms array<int>, counts array<int>"), "toxicity-vectors")
-    df = {r["term"]: r["count"] for r in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()}  # at most TERMS rows
+    counted = map_arrow(vectors.select("terms"), _frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    df = {r["term"]: r["n"] for r in counted.collect()}  # at most TERMS rows
     taken = vectors.join(small, F.col("key") == F.col("_key")).dropDuplicates(["key"]).select("key", "toxic", "terms", "counts").collect()
     weight = {c: max(1.0, m / examples) for c, m in n.items()}
     index = build_index(len(vocabulary), df, vectors.count(), [(r["key"], r["toxic"], weight[r["toxic"]], r["terms"], r["counts"]) for r in taken])
