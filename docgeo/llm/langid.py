@@ -163,7 +163,8 @@ def identify(rows: DataFrame, model: np.ndarray, keys: list[str], text: str = "t
     named = F.coalesce(*[F.when(F.col(f"post_{i}") == F.col("_best"), F.lit(c)) for i, c in enumerate(classes)])
     out = judged.select(*keys, F.when(has, named).otherwise(UNDETERMINED).alias("lang"), F.when(has, F.round("_best", 6)).otherwise(1.0).alias("confidence"), "n_trigrams")
     accepted = (F.col("lang") != UNDETERMINED) & (F.col("confidence") >= min_confidence)
-    return out.select(*keys, "lang", "confidence", accepted.alias("accepted"), "n_trigrams")
+    # written, as a later filter on the verdict would otherwise be unfolded into all the scores
+    return written(out.select(*keys, "lang", "confidence", accepted.alias("accepted"), "n_trigrams"), "langid-judged")
 
 
 def page_evidence(url: Column, html: Column) -> dict[str, Column]:
@@ -194,6 +195,5 @@ def keep_known_languages(docs: DataFrame, model: np.ndarray, text: str = "text",
     row = F.xxhash64(docs[text], docs[source])
     evidence = document_evidence(docs[text], docs[source])
     judged = identify(docs.select(row.alias("_row"), *[c.alias(k) for k, c in evidence.items()]), model, ["_row"])
-    judged = written(judged.select("_row", "accepted"), "langid-judged")  # else the filter's condition would be unfolded into all the scores
     gone = written(judged.filter(~F.col("accepted")).select("_row").distinct(), "langid-rejected")
     return docs.join(gone, row == gone["_row"], "left_anti")

@@ -120,4 +120,5 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: lis
     for rule in ordered:  # a CASE: what stands after the first true condition is not evaluated
         verdict = verdict.when(rule.rejects, rule.name)
     counted = base_counts(rows).withColumn("rejected_by", verdict).drop("text")
-    return counted.withColumns({"base_failed": base_failed(), "kept": F.col("rejected_by").isNull()})
+    # written, as a later filter on the verdict would otherwise be unfolded into all the counts
+    return written(counted.withColumns({"base_failed": base_failed(), "kept": F.col("rejected_by").isNull()}), "quality-verdicts")
