@@ -24,7 +24,8 @@ UNDETERMINED = "und"
 TRAINING_DOCS = 2000
 
 BUCKETS = 1 << 16
-SMOOTHING = 0.5  # added to each trigram's count
+SMOOTHING = 0.05  # added to each trigram's count
+BACK_OFF = 0.1  # share of the letters' own distribution in a language's, for trigrams that it was not seen with
 UND_UNIFORM = 0.3  # share of the even distribution in the und class
 
 # A trigram shares two bytes with the next one, so a text of n trigrams counts as n / 3 independent observations.
@@ -81,6 +82,7 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     counts = np.zeros((len(languages) + 1, BUCKETS))
     counts[counted["row"], counted["bucket"]] = counted["n"]
     p = (counts + SMOOTHING) / (counts.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
+    p[:-1] = (1 - BACK_OFF) * p[:-1] + BACK_OFF * p[-1]
     p[-1] = (1 - UND_UNIFORM) * p[-1] + UND_UNIFORM / BUCKETS
     return np.ascontiguousarray(np.log(p).T.astype(np.float32))
 

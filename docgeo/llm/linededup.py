@@ -150,6 +150,15 @@ def within_edits(a: list[str], b: list[str], edits: int) -> np.ndarray:
         done = int(np.searchsorted(ends, 0, side="right"))
         out[block[:done]] = (state[edits][:done] >> goal[:done]) & 1 == 1
         for j in range(last):
+            if j % 32 == 31:
+                live = state[edits] != 0  # the others are beyond the threshold on every diagonal
+                if not live.any():
+                    break
+                if 2 * np.count_nonzero(live) < n:
+                    block, ends, goal, n = block[live], ends[live], goal[live], int(np.count_nonzero(live))
+                    pattern, texts = pattern[:, live], texts[:, live]
+                    state = [s[live] for s in state]
+                    done = int(np.searchsorted(ends, j, side="right"))
             equal = np.zeros(n, dtype=word)
             for d in range(2 * edits + 1):
                 equal |= (pattern[j + d] == texts[j]).astype(word) << word(d)
@@ -198,10 +207,15 @@ def cell_links(lines: list[str], cell: np.ndarray, is_probe: np.ndarray, side: n
     """
     n = len(lines)
     joined = Forest(n)
+    sizes_of = np.array([len(x) for x in lines], dtype=np.int64)
 
     def verify(i: np.ndarray, j: np.ndarray) -> None:
-        for at in range(0, len(i), PAIRS):
-            x, y = i[at : at + PAIRS], j[at : at + PAIRS]
+        at = 0
+        while at < len(i):
+            # as many pairs as hold PAIR_CHARS characters at most
+            n = int(np.searchsorted(np.cumsum(sizes_of[i[at : at + PAIRS]] + sizes_of[j[at : at + PAIRS]]), PAIR_CHARS))
+            x, y = i[at : at + max(1, n)], j[at : at + max(1, n)]
+            at += max(1, n)
             open_ = joined.parent[x] != joined.parent[y]
             x, y = x[open_], y[open_]
             if len(x):

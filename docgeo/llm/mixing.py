@@ -7,6 +7,7 @@ short, given lists), so a round of fitting is one narrow aggregate however many
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from docgeo.llm.common import WORD, uniform_hash, written
 
 OTHER = "other"
+PATIENCE = 8  # rounds without a smaller miss after which targets count as unreachable
 
 
 @dataclass(frozen=True)
@@ -35,33 +37,38 @@ class Mix:
     seed: int = 3
 
 
-def topic_of(text: Column) -> Column:
-    """The register of a text, from counts over the whole of it."""
-    words = F.regexp_count(text, F.lit(WORD))
-    upper = F.regexp_count(text, F.lit("[A-Z]"))
-    return (
-        F.when(F.coalesce(words, F.lit(0)) < 20, "brief")
-        .when(F.regexp_count(text, F.lit(r"\|")) * 10 > words, "table")
-        .when(F.regexp_count(text, F.lit(r"[#*$%&<>]")) * 3 > words, "symbols")
-        .when(upper > F.regexp_count(text, F.lit("[a-z]")), "shouting")
-        .otherwise("prose")
-    )
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where the optimiser unfolds expressions."""
+    return F.transform(F.array(value), use)[0]
+
+
+def labels_of(text: Column, source: Column, lang: Column) -> Column:
+    """Struct ``source, lang, topic, tokens`` of a document: its words, and its register from counts over the whole text.
+
+    A null source is ``other``, a null text is empty.
+    """
+
+    def count(pattern: str) -> Column:
+        return F.regexp_count(body, F.lit(pattern))
+
+    body = F.coalesce(text.cast("string"), F.lit(""))
 
+    def topic(words: Column) -> Column:
+        return (
+            F.when(words < 20, "brief")
+            .when(count(r"\|") * 10 > words, "table")
+            .when(count(r"[#*$%&<>]") * 3 > words, "symbols")
+            .when(count("[A-Z]") > count("[a-z]"), "shouting")
+            .otherwise("prose")
+        )
 
-def labels(docs: DataFrame, text: str = "text", source: str = "source", lang: str = "lang") -> dict[str, Column]:
-    """``source, lang, topic, tokens`` (words of the whole text) of a document; a null source is ``other``."""
-    body = F.coalesce(docs[text].cast("string"), F.lit(""))
-    return {
-        "source": F.coalesce(docs[source].cast("string"), F.lit(OTHER)),
-        "lang": docs[lang].cast("string"),
-        "topic": topic_of(body),
-        "tokens": F.regexp_count(body, F.lit(WORD)).cast("long"),
-    }
+    fixed = [F.coalesce(source.cast("string"), F.lit(OTHER)).alias("source"), lang.cast("string").alias("lang")]
+    return bound(count(WORD), lambda words: F.struct(*fixed, topic(words).alias("topic"), words.cast("long").alias("tokens")))
 
 
-def labelled(docs: DataFrame, keys: list[Column], **names: str) -> DataFrame:
+def labelled(docs: DataFrame, keys: list[Column], text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
     """``keys`` and the labels of every document."""
-    return docs.select(*keys, *[c.alias(k) for k, c in labels(docs, **names).items()])
+    return docs.select(*keys, labels_of(docs[text], docs[source], docs[lang]).alias("_label")).select(*[F.col(k) for k in docs.select(*keys).columns], "_label.*")
 
 
 def _targets(wanted: dict[str, float], names: list[str], found: np.ndarray) -> np.ndarray:
@@ -93,8 +100,8 @@ def fit(rows: DataFrame, mix: Mix) -> Fit:
 
     Each round sets every source's factor from the current language and topic factors and sums the table by language and
     topic, in one job; the driver holds only those sums. Stops when all language and topic shares are within the tolerance
-    (sources are exact by then), else after ``mix.rounds`` rounds; targets that no weights can meet end there, with the
-    largest miss as ``residual``.
+    (sources are exact by then), else after ``mix.rounds`` rounds, or when ``PATIENCE`` rounds
+    brought no progress: no weights can meet the targets then, and ``residual`` is the largest miss.
     """
     langs = [*[n for n in mix.languages if n != OTHER], OTHER]
     topics = [*[n for n in mix.topics if n != OTHER], OTHER]
@@ -122,14 +129,16 @@ def fit(rows: DataFrame, mix: Mix) -> Fit:
     b, c = np.ones(len(langs)), np.ones(len(topics))
     found = table(F.lit(1.0))
     want_lang, want_topic = _targets(mix.languages, langs, found.sum(axis=1)), _targets(mix.topics, topics, found.sum(axis=0))
-    rounds, residual = 0, np.inf
+    rounds, residual, best, stuck = 0, np.inf, np.inf, 0
     over = lambda want, have: np.divide(want, have, out=np.zeros_like(want), where=have > 0)
     while rounds < mix.rounds:
         rounds += 1
         by_source = table(target / tokens(weighted(b, c)))
         have = by_source * np.outer(b, c)
         residual = max(np.abs(have.sum(axis=1) - want_lang).max(), np.abs(have.sum(axis=0) - want_topic).max())
-        if residual < mix.tolerance:
+        stuck = 0 if residual < 0.99 * best else stuck + 1
+        best = min(best, residual)
+        if residual < mix.tolerance or stuck == PATIENCE:
             break
         b = over(want_lang, (by_source * c).sum(axis=1))
         c = over(want_topic, (by_source * b[:, None]).sum(axis=0))
@@ -150,7 +159,7 @@ def fit(rows: DataFrame, mix: Mix) -> Fit:
     return Fit(sources.select("source", "factor"), dict(zip(langs, b.tolist(), strict=True)), dict(zip(topics, c.tolist(), strict=True)), scale, rounds, float(residual))
 
 
-def scaled_weight(done: Fit, label: dict[str, Column], factor: Column) -> Column:
+def scaled_weight(done: Fit, label: Column, factor: Column) -> Column:
     """The sampling probability before it is cut at 1; 0 without tokens."""
     by = lambda c, given: F.coalesce(*[F.when(label[c] == n, F.lit(float(x))) for n, x in given.items() if n != OTHER], F.lit(float(given[OTHER])))
     return F.when(label["tokens"] > 0, F.round(factor * by("lang", done.languages) * by("topic", done.topics) * done.scale, 9)).otherwise(0.0)
@@ -166,7 +175,7 @@ def sample(rows: DataFrame, key: Column, mix: Mix) -> DataFrame:
     rows = written(rows, "mixing-rows")
     done = fit(rows, mix)
     known = rows.join(done.sources, "source", "left")
-    known = known.withColumn("_p", scaled_weight(done, {c: F.col(c) for c in ("source", "lang", "topic", "tokens")}, F.col("factor"))).drop("factor")
+    known = known.withColumn("_p", scaled_weight(done, F.struct("source", "lang", "topic", "tokens"), F.col("factor"))).drop("factor")
     known = known.withColumns({"weight": F.round(F.col("_p") / mix.keep, 9), "probability": F.least(F.lit(1.0), "_p")}).drop("_p")
     return known.withColumn("sampled", uniform_hash(key, F.lit(mix.seed)) < F.col("probability"))
 
@@ -176,9 +185,9 @@ def draw(docs: DataFrame, mix: Mix, key: str = "doc_id", text: str = "text", sou
 
     The texts are read twice (to fit, then to draw) and never shuffled: a row meets its source's factor only.
     """
-    label = labels(docs, text, source, lang)
-    done = fit(docs.select(*[c.alias(k) for k, c in label.items()]), mix)
+    done = fit(labelled(docs, [], text, source, lang), mix)
     factors = done.sources.select(F.col("source").alias("_of"), "factor")
-    chosen = docs.join(factors, label["source"] == factors["_of"], "left")
-    chance = F.coalesce(scaled_weight(done, label, factors["factor"]), F.lit(0.0))
-    return chosen.filter(uniform_hash(F.xxhash64(docs[key], docs[text]), F.lit(mix.seed)) < chance).select(*[docs[c] for c in docs.columns])
+    chosen = docs.join(factors, F.coalesce(docs[source].cast("string"), F.lit(OTHER)) == factors["_of"], "left")
+    chance = bound(labels_of(docs[text], docs[source], docs[lang]), lambda label: scaled_weight(done, label, factors["factor"]))
+    drawn = uniform_hash(F.xxhash64(docs[key], docs[text]), F.lit(mix.seed)) < F.coalesce(chance, F.lit(0.0))
+    return chosen.filter(drawn).select(*[docs[c] for c in docs.columns])

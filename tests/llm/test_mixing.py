@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docgeo.llm import mixing
 from docgeo.llm.mixing import Mix
@@ -45,7 +46,7 @@ def test_probabilities_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     mix = Mix(tolerance=1e-10, rounds=300)
     rows = mixing.labelled(docs, [docs["doc_id"]])
-    out = mixing.sample(rows, rows["doc_id"], mix).collect()
+    out = mixing.sample(rows, F.col("doc_id"), mix).collect()
     want = raked(out, mix)
     assert len(out) == docs.count()
     for r in out:
@@ -67,7 +68,7 @@ def test_draw_follows_the_probabilities(spark):
 
 def test_odd_and_empty_tables(spark, odd_docs, no_docs):
     rows = mixing.labelled(odd_docs, [odd_docs["doc_id"]])
-    out = mixing.sample(rows, rows["doc_id"], Mix(languages={"en": 1.0})).collect()
+    out = mixing.sample(rows, F.col("doc_id"), Mix(languages={"en": 1.0})).collect()
     assert len(out) == odd_docs.count()
     assert all(r["probability"] == 0 and not r["sampled"] for r in out if not r["tokens"])
     left = mixing.draw(odd_docs, Mix(keep=1.0))

@@ -61,7 +61,7 @@ def test_random_strings_are_found_and_words_are_not(spark):
     out = {r["doc_id"]: [x for x in r["spans"] if x["kind"] == "random"] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     found = [i for i in range(60) if [(x["start"], x["end"]) for x in out[i]] == [(4, 48)]]
     assert len(found) >= 55
-    assert not any(out[i] for i in range(100, 260))
+    assert not any(out[i] for i in out if i >= 100)
 
 
 def test_battery_against_plain_formulas(spark):
@@ -70,7 +70,7 @@ def test_battery_against_plain_formulas(spark):
     for t in tokens:
         r = got[t]
         _, alphabet = secrets.ENCODINGS[r["encoding"]]
-        x = [alphabet.index(c) for c in t]
+        x = [alphabet.index(c) for c in (t.lower() if r["encoding"] == "hex" else t)]
         n, m = len(x), len(alphabet)
         chi2 = sum(x.count(k) ** 2 for k in range(m)) * m / n - n
         assert r["chi2"] == pytest.approx(chi2)
