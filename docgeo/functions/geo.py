@@ -16,7 +16,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     dlat = (lat2 - lat1) * rad
     dlon = (lon2 - lon1) * rad
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(lat1 * rad) * F.cos(lat2 * rad) * F.pow(F.sin(dlon / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    # least() skips NULL, so a missing coordinate has to be kept missing
+    return F.when(a.isNotNull(), F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a))))
 
 
 def ring_edges(rings: Column) -> Column:

@@ -50,5 +50,5 @@ def file_id(path: str | Column, prefix: str | None = None) -> Column:
     path = col_(path)
     if prefix is not None:
         p = prefix if prefix.endswith("/") else prefix + "/"
-        return F.when(F.startswith(path, F.lit(p)), F.substring(path, len(p) + 1, 1 << 30)).otherwise(path)
+        return F.when(F.startswith(path, F.lit(p)), F.substr(path, F.lit(len(p) + 1))).otherwise(path)
     return F.element_at(F.split(path, "/"), -1)

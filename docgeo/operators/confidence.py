@@ -24,22 +24,23 @@ MAX_K = 5
 GAIN = 1.15
 DISTANCE_DECIMALS = 6  # distances are compared after rounding to 1 mm, so engines agree on distinctness
 
-DENSE_LIMIT = 1500
-
 
 def centroid_distance(doc_geo: DataFrame) -> DataFrame:
     """doc_geo + c_lat, c_lon (frequency-weighted mean degrees) + distance_km (rounded to 6 decimals).
 
+    A place that lacks a coordinate takes no part in the centroid and has no distance (NULL).
+
     One hash partitioning by doc_id serves the centroid window and the clustering that follows. A document's rows
     are its distinct geocoded names, so a group is bounded by the location cache, not by the text length.
     """
     w = Window.partitionBy("doc_id")
     f = F.col("frequency").cast("decimal(12,0)")
-    weight = F.sum("frequency").over(w).cast("double")
+    known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    weight = F.sum(F.when(known, F.col("frequency"))).over(w).cast("double")
 
     def wmean(c):
         # exact decimal sum: independent of how rows were split across partitions, so runs (and engines) agree
-        return F.sum(F.col(c).cast("decimal(20,9)") * f).over(w).cast("double") / weight
+        return F.sum(F.when(known, F.col(c).cast("decimal(20,9)") * f)).over(w).cast("double") / weight
 
     return (
         doc_geo.withColumn("c_lat", wmean("lat"))
@@ -51,29 +52,8 @@ def centroid_distance(doc_geo: DataFrame) -> DataFrame:
     )
 
 
-def _dense_dp(x: np.ndarray, m: np.ndarray, kmax: int):
-    """best[k][b], arg[k][b] for prefix sums; O(k n^2) vectorised."""
-    n = len(x)
-    M = np.concatenate([[0.0], np.cumsum(m)])
-    S = np.concatenate([[0.0], np.cumsum(m * x)])
-    a = np.arange(n + 1)[:, None]
-    b = np.arange(n + 1)[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        score = (S[b] - S[a]) ** 2 / (M[b] - M[a])
-    score = np.where(a < b, score, -np.inf)
-    best = np.full((kmax + 1, n + 1), -np.inf)
-    arg = np.zeros((kmax + 1, n + 1), dtype=np.int64)
-    best[1] = score[0]
-    for k in range(2, kmax + 1):
-        cand = best[k - 1][:, None] + score  # rows a, cols b
-        cand[: k - 1, :] = -np.inf
-        arg[k] = np.argmax(cand, axis=0)  # first maximum: ties go to the smaller a
-        best[k] = cand[arg[k], np.arange(n + 1)]
-    return best, arg, M, S
-
-
 def _dc_dp(x: np.ndarray, m: np.ndarray, kmax: int):
-    """Same tables by divide and conquer over the monotone split points, O(k n log n)."""
+    """best[k][b], arg[k][b] for prefix sums, by divide and conquer over the monotone split points, O(k n log n)."""
     n = len(x)
     M = np.concatenate([[0.0], np.cumsum(m)])
     S = np.concatenate([[0.0], np.cumsum(m * x)])
@@ -110,7 +90,7 @@ def choose_cut(d: np.ndarray, m: np.ndarray, max_k: int = MAX_K, gain: float = G
         return float("inf")
     kmax = max(2, min(max_k, n_rows - 1, n))
     x = d - float((m * d).sum() / m.sum())  # centre before squaring
-    best, arg, M, S = (_dense_dp if n <= DENSE_LIMIT else _dc_dp)(x, m.astype(float), kmax)
+    best, arg, M, S = _dc_dp(x, m.astype(float), kmax)
     total = S[n] ** 2 / M[n]
     between = {k: best[k][n] - total for k in range(2, kmax + 1)}
     k = 2
@@ -160,7 +140,8 @@ def _cut_batches(max_k: int, gain: float):
 
 
 def cluster_confidence(doc_geo: DataFrame, max_k: int = MAX_K, gain: float = GAIN) -> DataFrame:
-    """doc_geo + c_lat, c_lon, distance_km, confidence (1.0 inside the cluster nearest the centroid, else 0.0).
+    """doc_geo + c_lat, c_lon, distance_km, confidence (1.0 inside the cluster nearest the centroid, else 0.0;
+    0.0 without a coordinate).
 
     Python sees only (doc_id, distinct distance, multiplicity) through Arrow: the rows are hash-partitioned by
     doc_id and sorted, and each Arrow batch carries many documents (no per-group round trip). A document's group
@@ -169,12 +150,12 @@ def cluster_confidence(doc_geo: DataFrame, max_k: int = MAX_K, gain: float = GAI
     """
     ship_package(doc_geo.sparkSession)
     d = centroid_distance(doc_geo)
-    groups = d.groupBy("doc_id", "distance_km").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    groups = d.where(F.col("distance_km").isNotNull()).groupBy("doc_id", "distance_km").agg(F.count(F.lit(1)).cast("double").alias("m"))
     cuts = (
         groups.repartition("doc_id")
         .sortWithinPartitions("doc_id", "distance_km")
         .mapInPandas(_cut_batches(max_k, gain), "doc_id long, cut double")
     )
-    return d.join(cuts, "doc_id").withColumn(
+    return d.join(cuts, "doc_id", "left").withColumn(
         "confidence", F.when(F.col("distance_km") <= F.col("cut"), F.lit(1.0)).otherwise(F.lit(0.0))
     ).drop("cut")

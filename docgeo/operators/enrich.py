@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgeo.functions.geo import bbox_cells, cell_of, crossings, ring_edges
-from docgeo.functions.joins import bounded_broadcast
 from docgeo.functions.text import file_id
 
 CELL_DEGREES = 10.0
@@ -30,12 +29,12 @@ def polygon_cells(boundaries: DataFrame, cell: float = CELL_DEGREES) -> DataFram
 def locate_points(points: DataFrame, boundaries: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
     """(lat, lon, country, continent) for the distinct points; even-odd rule, lowest poly_id wins, NULL outside.
 
-    Points meet only the polygons whose bounding-box cells contain them (an equi-join on the cell, against a
-    size-checked broadcast of the polygon cells) instead of a nested-loop test of every pair.
+    Points meet only the polygons whose bounding-box cells contain them (an equi-join on the cell; Catalyst
+    broadcasts the polygon cells if they are small enough) instead of a nested-loop test of every pair.
     """
     pts = points.select("lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).distinct()
     probe = pts.select("lat", "lon", cell_of(F.col("lon"), cell).alias("cx"), cell_of(F.col("lat"), cell).alias("cy"))
-    cells = bounded_broadcast(polygon_cells(boundaries, cell))
+    cells = polygon_cells(boundaries, cell)
     lat, lon = F.col("lat"), F.col("lon")
     inside = (
         probe.join(cells, ["cx", "cy"])

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docgeo.functions.joins import bounded_broadcast
 from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank, tokens
 
 # Entity tags the workflow keeps as places.
@@ -78,7 +77,7 @@ def tag_entities(
     """
     if max_n is None:
         max_n = longest_entry(lexicon, pattern)
-    lex = bounded_broadcast(prepare_lexicon(lexicon, pattern))
+    lex = prepare_lexicon(lexicon, pattern)
     grams = ngrams(docs, max_n, pattern)
     hits = grams.join(lex, ["gram", "len"])
     chosen = languages.select("doc_id", F.col("code").alias("lang"), "model_rank")

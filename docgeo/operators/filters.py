@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgeo.functions.joins import bounded_broadcast
 
 WILDCARD = "all"
 
@@ -34,12 +33,12 @@ def removal_condition(rules: Sequence[tuple[str, str]]) -> Column:
 def remove_classes(doc_geo: DataFrame, rules: Sequence[tuple[str, str]] | DataFrame) -> DataFrame:
     """Drop rows matching any (class, type) removal rule; no match keeps every row.
 
-    A literal rule list compiles to one filter expression. A rule table becomes three anti joins against its
-    (size-checked) broadcast: on type for ``(all, t)``, on class for ``(c, all)``, on both for exact pairs.
+    A literal rule list compiles to one filter expression. A rule table becomes three anti joins against it:
+    on type for ``(all, t)``, on class for ``(c, all)``, on both for exact pairs.
     """
     if not isinstance(rules, DataFrame):
         return doc_geo.where(~removal_condition(list(rules)))
-    r = bounded_broadcast(rules.select("class", "type").where(F.col("class").isNotNull() & F.col("type").isNotNull()).distinct())
+    r = rules.select("class", "type").where(F.col("class").isNotNull() & F.col("type").isNotNull()).distinct()
     by_type = r.where(F.col("class") == WILDCARD).select("type")
     by_class = r.where((F.col("class") != WILDCARD) & (F.col("type") == WILDCARD)).select("class")
     exact = r.where((F.col("class") != WILDCARD) & (F.col("type") != WILDCARD))
@@ -52,7 +51,7 @@ def remove_classes(doc_geo: DataFrame, rules: Sequence[tuple[str, str]] | DataFr
 
 
 def _names(blacklist: DataFrame) -> DataFrame:
-    return bounded_broadcast(blacklist.select(F.col("location").alias("query")).where(F.col("query").isNotNull()).distinct())
+    return blacklist.select(F.col("location").alias("query")).where(F.col("query").isNotNull()).distinct()
 
 
 def remove_blacklisted(doc_geo: DataFrame, blacklist: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docgeo.functions.joins import bounded_broadcast
 from docgeo.functions.text import strip_braces
 from docgeo.schemas import DOC_GEO_COLUMNS, LOCATION_CACHE_COLUMNS, LOCATION_CACHE_SCHEMA
 from docgeo.session import cut_lineage, ship_package
@@ -63,21 +63,45 @@ def resolve_with(misses: DataFrame, resolver: Callable[[pd.DataFrame], pd.DataFr
     Runs per Arrow batch on the executors. A batch whose call raises is not fatal: its names simply stay
     unresolved (and are looked up again in a later run).
     """
-    cols = LOCATION_CACHE_COLUMNS
+    return resolve_with_status(misses, resolver).where("status = 'resolved'").drop("status")
+
+
+def _as_schema(out: pd.DataFrame, schema: T.StructType) -> pd.DataFrame:
+    """``out`` with the columns and types of ``schema``; absent columns become NULL, wrong values raise."""
+    columns = {}
+    for f in schema.fields:
+        c = out[f.name] if f.name in out.columns else pd.Series([None] * len(out), index=out.index, dtype=object)
+        if isinstance(f.dataType, T.NumericType):
+            c = pd.to_numeric(c)
+            c = c.astype("Int64") if isinstance(f.dataType, T.IntegralType) else c.astype(float)
+        elif isinstance(f.dataType, T.StringType):
+            c = c.map(lambda v: None if pd.isna(v) else str(v))
+        columns[f.name] = c
+    return pd.DataFrame(columns)
+
+
+def resolve_with_status(misses: DataFrame, resolver: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """Cache rows plus ``status`` for every missed name: ``resolved`` (one row per answer), ``not found`` or ``failed``
+    (one row with the name alone). An answer that lacks columns is filled with NULL; one whose values don't fit the
+    cache's types counts as failed."""
+    schema = LOCATION_CACHE_SCHEMA
     ship_package(misses.sparkSession)
 
     def run(batches):
         for pdf in batches:
             try:
                 out = resolver(pdf[["query"]].copy())
+                out = _as_schema(pdf[:0] if out is None else out, schema).assign(status="resolved")
+                missing = "not found"
             except Exception:  # noqa: BLE001 - a failing lookup must not stop the run
-                continue
-            if out is None or len(out) == 0:
-                continue
-            out = out.reindex(columns=cols)
+                out, missing = _as_schema(pdf[:0], schema).assign(status="resolved"), "failed"
+            rest = pdf[~pdf["query"].isin(out["query"])]
             yield out
+            if len(rest):
+                yield _as_schema(rest, schema).assign(status=missing)
 
-    return misses.select("query").distinct().mapInPandas(run, LOCATION_CACHE_SCHEMA)
+    with_status = T.StructType([*schema.fields, T.StructField("status", T.StringType())])
+    return misses.select("query").distinct().mapInPandas(run, with_status)
 
 
 def update_cache(cache: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -87,9 +111,9 @@ def update_cache(cache: DataFrame, resolved: DataFrame) -> DataFrame:
 
 def attach_coordinates(doc_location: DataFrame, cache: DataFrame) -> DataFrame:
     """doc_geo (doc_id, query, frequency, lat, lon, class, type, importance): inner join of names and cache;
-    names without a cache row drop out (see ``unresolved_names``). The cache side is broadcast when its size
-    allows; otherwise a shuffle join with AQE skew splitting handles names that many documents share."""
-    c = bounded_broadcast(one_per_query(cache).select("query", "lat", "lon", "class", "type", "importance"))
+    names without a cache row drop out (see ``unresolved_names``). Catalyst broadcasts the cache side if its
+    bytes allow; otherwise a shuffle join with AQE skew splitting handles names that many documents share."""
+    c = one_per_query(cache).select("query", "lat", "lon", "class", "type", "importance")
     return doc_location.join(c, doc_location["location"] == c["query"]).select(*DOC_GEO_COLUMNS)
 
 
@@ -111,7 +135,7 @@ def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | No
     names = cut_lineage(strip_name_braces(doc_location))
     misses = cache_misses(names, cache)
     if resolver is not None:
-        resolved = resolve_with(misses, resolver)
+        resolved = cut_lineage(resolve_with(misses, resolver))  # asked once, whatever reads the answers
     elif gazetteer is not None:
         resolved = resolve_offline(misses, gazetteer)
     else:

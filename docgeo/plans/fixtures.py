@@ -3,7 +3,7 @@
 The reference ships no lexicon, gazetteer, blacklist, boundaries or language profile, so these stand-in inputs are
 built from ``documents``, ``nation`` and ``region`` (FIXTURES.md). They only provide rows of the expected schema;
 all work of a query (tagging, geocoding, scoring, ...) runs in the library's operators on them. The same
-derivations are written in DuckDB SQL in ``sqlcheck/fixtures_sql.py`` for the oracle.
+derivations are written in DuckDB SQL in ``sqlcheck/oracle.py`` for the oracle.
 
 Derived tables are written once per session and input folder under the checkpoint root, the way they would sit
 on shared storage in production, and read back from there.
@@ -108,7 +108,7 @@ def _lexicon(docs: DataFrame) -> DataFrame:
     variant = h(s, 12, 20)
     lemma = (
         F.when(variant == 0, F.concat(F.lit(" "), s, F.lit("  ")))
-        .when(variant == 1, F.concat(F.substring(s, 1, 2), F.lit("_"), F.substring(s, 3, 1 << 20)))
+        .when(variant == 1, F.concat(F.substring(s, 1, 2), F.lit("_"), F.expr("substring(surface, 3)")))
         .when(variant == 2, F.concat(s, F.lit("\nNord")))
         .when(variant == 3, F.substring(s, 1, 1))
         .when(variant == 4, F.concat(s, F.lit("   Sud")))
@@ -198,13 +198,8 @@ def _report_documents(docs: DataFrame) -> DataFrame:
 def _bilingual_documents(docs: DataFrame) -> DataFrame:
     a = docs.select("doc_id", "lang", F.col("text").alias("a_text"))
     b = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("b_text"))
-    return (
-        a.join(b, "doc_id")
-        .where(
-            (F.length("a_text") >= F.length("b_text") / 2) & (F.length("a_text") <= F.length("b_text") * 2)
-        )
-        .select("doc_id", "lang", F.concat("a_text", F.lit("\n"), "b_text").alias("text"))
-    )
+    # every document with the next one's text after its own; the last has none
+    return a.join(b, "doc_id", "left").select("doc_id", "lang", F.concat_ws("\n", "a_text", "b_text").alias("text"))
 
 
 # ---------------------------------------------------------------- public accessors

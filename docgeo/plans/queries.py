@@ -21,7 +21,7 @@ from docgeo.operators import language as L
 from docgeo.operators import metadata as M
 from docgeo.operators import whitelist as W
 from docgeo.plans import pipeline as P
-from docgeo.plans.fixtures import CUSTOM_REMOVAL_RULES, DEFAULT_REMOVAL_RULES, Fixtures
+from docgeo.plans.fixtures import DEFAULT_REMOVAL_RULES, Fixtures
 
 # Custom metadata fields for the user-extension path (patterns that occur in the driver's raw texts).
 CUSTOM_PATTERNS = {
@@ -53,8 +53,9 @@ def _inputs(fx: Fixtures, **kw) -> P.Inputs:
 
 
 def _conversation_inputs(fx: Fixtures) -> P.Inputs:
+    # Cantor's pairing: one number for each (conversation, turn)
     conv = fx.table("conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
+        F.expr("((conv_id + turn) * (conv_id + turn + 1)) div 2 + turn").alias("doc_id"),
         F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string")).alias("file_name"),
         "text",
     )
@@ -180,7 +181,7 @@ def q_blacklist_filter(spark, d):
 
 def q_blacklist_report(spark, d):
     inp = _inputs(Fixtures(spark, d))
-    return FL.blacklist_report(P.scored(inp), inp.blacklist, inp.docs)
+    return FL.blacklist_report(FL.remove_classes(P.geocoded(inp)[0], inp.rules), inp.blacklist, inp.docs)
 
 
 # ---------------------------------------------------------------- enrichment

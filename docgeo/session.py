@@ -10,14 +10,15 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, app: str = "docgeo", shuffle_partitions: int = 8) -> SparkSession:
+def get_spark(master: str | None = None, app: str = "docgeo", shuffle_partitions: int | None = None) -> SparkSession:
     """Session with the settings this library is tuned for (AQE, skew join, no UI)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions:  # else Spark's own setting: AQE only coalesces, so a small default would cap a cluster
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

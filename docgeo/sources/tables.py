@@ -3,28 +3,48 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgeo.schemas import BLACKLIST_SCHEMA, LOCATION_CACHE_COLUMNS, LOCATION_CACHE_SCHEMA, WHITELIST_SCHEMA
 
 CURRENT = "_CURRENT"
 
+# quotes inside a field are doubled, and a field may hold line breaks
+CSV = {"header": True, "quote": '"', "escape": '"'}
 
-def _read_pointer(spark: SparkSession, root: str) -> str | None:
-    """Name of the current cache version, or None when no version was saved yet."""
+
+def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
+    """Numbers of the version directories under ``root``, and whether each was written completely."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    found = {}
+    for status in fs.listStatus(path):
+        if re.fullmatch(r"v-\d+", name := status.getPath().getName()):
+            found[int(name[2:])] = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+    return found
+
+
+def _current(spark: SparkSession, root: str) -> str | None:
+    """Name of the current version: what the pointer says, or the newest complete one if the pointer is lost."""
     try:
         rows = spark.read.text(f"{root.rstrip('/')}/{CURRENT}").collect()  # one tiny pointer file
+        if rows:
+            return json.loads(rows[0][0])["version"]
     except AnalysisException:
-        return None
-    return json.loads(rows[0][0])["version"] if rows else None
+        pass
+    complete = [n for n, whole in _versions(spark, root).items() if whole]
+    return f"v-{max(complete):06d}" if complete else None
 
 
 def open_location_cache(spark: SparkSession, root: str) -> DataFrame:
     """The current cache version under ``root``, or an empty cache with the declared schema."""
-    version = _read_pointer(spark, root)
+    version = _current(spark, root)
     if version is None:
         return spark.createDataFrame([], LOCATION_CACHE_SCHEMA)
     return spark.read.schema(LOCATION_CACHE_SCHEMA).parquet(f"{root.rstrip('/')}/{version}")
@@ -33,13 +53,11 @@ def open_location_cache(spark: SparkSession, root: str) -> DataFrame:
 def save_location_cache(spark: SparkSession, cache: DataFrame, root: str) -> str:
     """Write ``cache`` as a new version directory, then switch the pointer to it.
 
-    The version being read is never overwritten, so a failed write leaves the old cache intact and a re-run
-    is harmless. Returns the new version name.
+    The number follows the largest one listed, so no version is ever overwritten, with or without a pointer; a failed
+    write leaves an incomplete directory that nothing reads. Returns the new version name.
     """
-    old = _read_pointer(spark, root)
-    n = 0 if old is None else int(old.split("-")[1]) + 1
-    version = f"v-{n:06d}"
-    cache.select(*LOCATION_CACHE_COLUMNS).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{version}")
+    version = f"v-{max(_versions(spark, root), default=-1) + 1:06d}"
+    cache.select(*LOCATION_CACHE_COLUMNS).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{version}")
     spark.createDataFrame([(json.dumps({"version": version}),)], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(f"{root.rstrip('/')}/{CURRENT}")
@@ -48,37 +66,43 @@ def save_location_cache(spark: SparkSession, cache: DataFrame, root: str) -> str
 
 def read_blacklist(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
-        return spark.read.option("header", True).schema(BLACKLIST_SCHEMA).csv(path)
+        return spark.read.options(**CSV, multiLine=True).schema(BLACKLIST_SCHEMA).csv(path)
     df = spark.read.parquet(path)
     return df.select("location", *[c for c in ("lat", "lon") if c in df.columns])
 
 
 def read_whitelist(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
-        return spark.read.option("header", True).option("nullValue", "NA").schema(WHITELIST_SCHEMA).csv(path)
+        return spark.read.options(**CSV, multiLine=True, nullValue="NA").schema(WHITELIST_SCHEMA).csv(path)
     return spark.read.schema(WHITELIST_SCHEMA).parquet(path)
 
 
 def save_whitelist(whitelist: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt == "csv":
-        whitelist.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
+        whitelist.write.mode("overwrite").options(**CSV, nullValue="NA").csv(path)
     else:
         whitelist.write.mode("overwrite").parquet(path)
 
 
-def boundaries_from_wkt(df: DataFrame, wkt_col: str = "wkt") -> DataFrame:
-    """Boundary table (poly_id, country, continent, rings) from WKT POLYGON text: rings parsed once with
-    string functions into ARRAY<ARRAY<STRUCT<x,y>>>."""
-    body = F.regexp_extract(F.col(wkt_col), r"POLYGON\s*\(\((.*)\)\)", 1)
-    rings = F.split(body, r"\)\s*,\s*\(")
-    pts = F.transform(
-        rings,
-        lambda r: F.transform(
-            F.split(F.trim(r), r"\s*,\s*"),
-            lambda p: F.struct(
-                F.split(F.trim(p), r"\s+")[0].cast("double").alias("x"),
-                F.split(F.trim(p), r"\s+")[1].cast("double").alias("y"),
-            ),
-        ),
+def _points(ring: Column, separator: str, within: str) -> Column:
+    """ARRAY<STRUCT<x,y>> of a ring written as text."""
+    return F.transform(
+        F.split(F.trim(ring), separator),
+        lambda p: F.struct(F.split(F.trim(p), within)[0].cast("double").alias("x"), F.split(F.trim(p), within)[1].cast("double").alias("y")),
     )
-    return df.select("poly_id", "country", "continent", pts.alias("rings"))
+
+
+def boundaries_from_wkt(df: DataFrame, wkt_col: str = "wkt") -> DataFrame:
+    """Boundary table (poly_id, country, continent, rings) from WKT POLYGON or MULTIPOLYGON text.
+
+    All rings of all parts go into one list: by the even-odd rule a point is inside if it is inside one part and none of
+    its holes."""
+    rings = F.regexp_extract_all(F.col(wkt_col), F.lit(r"\(([^()]+)\)"), F.lit(1))
+    return df.select("poly_id", "country", "continent", F.transform(rings, lambda r: _points(r, r"\s*,\s*", r"\s+")).alias("rings"))
+
+
+def boundaries_from_geojson(df: DataFrame, geometry_col: str = "geometry") -> DataFrame:
+    """The same table from GeoJSON geometries (Polygon or MultiPolygon) as text."""
+    rings = F.regexp_extract_all(F.col(geometry_col), F.lit(r"\[\s*\[([^\[\]]+\](?:\s*,\s*\[[^\[\]]+\])*)\s*\]"), F.lit(1))
+    texts = F.transform(rings, lambda r: F.regexp_replace(r, r"\]\s*$", ""))
+    return df.select("poly_id", "country", "continent", F.transform(texts, lambda r: _points(r, r"\]\s*,\s*\[", r"\s*,\s*")).alias("rings"))

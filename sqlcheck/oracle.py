@@ -90,10 +90,9 @@ report_docs AS (SELECT doc_id, lang, text || chr(10) || CASE doc_id % 5
       WHEN 2 THEN 'Stufe 3' || ' Vertrag 0' || (doc_id % 9 + 1) || '.12.2019 ' || 'Betrag DM 3,5 Mio.'
       WHEN 3 THEN 'Grade: 2 am ' || (doc_id % 28 + 1) || '.1.2020'
       ELSE 'ohne Angaben' END AS text FROM documents),
-bilingual_docs AS (SELECT a.doc_id, a.lang, a.text || chr(10) || b.text AS text
-    FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1
-    WHERE length(a.text) >= length(b.text) / 2 AND length(a.text) <= length(b.text) * 2),
-conv_docs AS (SELECT conv_id * 1000 + turn AS doc_id, 'conv_' || conv_id || '_' || turn AS file_name, text FROM conversations)
+bilingual_docs AS (SELECT a.doc_id, a.lang, a.text || coalesce(chr(10) || b.text, '') AS text
+    FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1),
+conv_docs AS (SELECT ((conv_id + turn) * (conv_id + turn + 1)) // 2 + turn AS doc_id, 'conv_' || conv_id || '_' || turn AS file_name, text FROM conversations)
 """
 
 

@@ -74,11 +74,35 @@ def test_kmeans_dp_matches_brute_force(seed):
     d = np.sort(rng.choice(np.arange(1, 2000), size=n, replace=False).astype(float) * rng.uniform(0.1, 3))
     m = rng.integers(1, 4, size=n).astype(float)
     assert C.choose_cut(d, m) == _brute(d, m)
-    # divide and conquer DP gives the same tables
-    x = d - (m * d).sum() / m.sum()
-    b1, a1, *_ = C._dense_dp(x, m, 4)
-    b2, a2, *_ = C._dc_dp(x, m, 4)
-    assert np.allclose(b1[2:, n], b2[2:, n])
+
+
+@pytest.mark.parametrize("n", [3, 17, 60, 1700])
+def test_kmeans_dp_matches_plain_dp(n):
+    """All values and split points of the table, below and above a thousand distances."""
+    rng = np.random.default_rng(n)
+    x = np.sort(rng.choice(10 * n, size=n, replace=False).astype(float)) - 5.0 * n
+    m = rng.integers(1, 5, size=n).astype(float)
+    mass, total = np.concatenate([[0.0], np.cumsum(m)]), np.concatenate([[0.0], np.cumsum(m * x)])
+    best, arg, *_ = C._dc_dp(x, m, 3)
+    plain = np.full((4, n + 1), -np.inf)
+    plain[1, 1:] = total[1:] ** 2 / mass[1:]
+    for k in (2, 3):
+        for b in range(k, n + 1):
+            a = np.arange(k - 1, b)
+            values = plain[k - 1][a] + (total[b] - total[a]) ** 2 / (mass[b] - mass[a])
+            plain[k, b] = values.max()
+            assert np.isclose(values[arg[k, b] - (k - 1)], values.max())
+        assert np.allclose(best[k, k:], plain[k, k:])
+
+
+def test_missing_coordinates_take_no_part(spark):
+    rows = [(1, "a", 1, 50.0, 8.0), (1, "b", 1, 51.0, 9.0), (1, "c", 1, 52.0, 10.0), (1, "d", 3, None, None), (1, "e", 2, 40.0, None), (2, "f", 1, None, 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, query string, frequency long, lat double, lon double")
+    out = {r["query"]: r for r in C.centroid_distance(df).collect()}
+    assert (out["a"]["c_lat"], out["a"]["c_lon"]) == (51.0, 9.0) and out["b"]["distance_km"] == 0.0
+    assert [out[q]["distance_km"] for q in "def"] == [None, None, None]
+    scored = {r["query"]: r["confidence"] for r in C.cluster_confidence(df).collect()}
+    assert set(scored) == set("abcdef") and all(scored[q] == 0.0 for q in "def") and scored["b"] == 1.0
 
 
 def test_regex_metadata(spark):
