@@ -24,7 +24,7 @@ UNDETERMINED = "und"
 TRAINING_DOCS = 2000
 
 BUCKETS = 1 << 16
-SMOOTHING = 0.05  # added to each trigram's count
+SMOOTHING = 0.005  # added to each trigram's count: little, as the back-off serves unseen trigrams of known letters
 BACK_OFF = 0.1  # share of the letters' own distribution in a language's, for trigrams that it was not seen with
 UND_UNIFORM = 0.3  # share of the even distribution in the und class
 
