@@ -58,9 +58,9 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start)
 
 
-def lower_ascii(c: Column | str) -> Column:
-    """A-Z to a-z and nothing else."""
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def count_chars(text: Column | str, inside: str) -> Column:
+    """Characters of ``text`` in the class ``[inside]``: what is left without the runs of others (no list of matches)."""
+    return F.length(F.regexp_replace(text, f"[^{inside}]+", ""))
 
 
 def uniform_hash(*cols: Column) -> Column:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgeo.llm.common import ASCII_SPACE, uniform_hash, written
+from docgeo.llm.common import ASCII_SPACE, count_chars, uniform_hash, written
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOL = r"[#*$%&|<>]"
@@ -41,9 +41,9 @@ def default_rules() -> list[Rule]:
         Rule("word_runs", count(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?:\x20\1(?![^\x20\x09-\x0D])){2,}") * 20 > words),
         Rule("long_words", chars > 15 * words),
         Rule("short_words", chars < 2 * words),
-        Rule("shouting", count("[A-Z]") > count("[a-z]")),
-        Rule("digits", count("[0-9]") * 10 > 3 * chars),
-        Rule("few_letters", count(r"\p{L}") * 10 < 5 * chars),
+        Rule("shouting", count_chars(t, "A-Z") > count_chars(t, "a-z")),
+        Rule("digits", count_chars(t, "0-9") * 10 > 3 * chars),
+        Rule("few_letters", count_chars(t, r"\p{L}") * 10 < 5 * chars),
         Rule("exclamations", count("!") * 4 > words),
         Rule("ellipses", count(r"(?m)(\.\.\.|…)[ \t]*$") * 10 > 3 * (count(r"\n") + 1)),
         Rule("code", count(r"[{};]") * 10 > words),
