@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgeo.llm.common import WORD, uniform_hash, written
+from docgeo.llm.common import WORD, count_chars, uniform_hash, written
 
 OTHER = "other"
 PATIENCE = 8  # rounds without a smaller miss after which targets count as unreachable
@@ -58,7 +58,7 @@ def labels_of(text: Column, source: Column, lang: Column) -> Column:
             F.when(words < 20, "brief")
             .when(count(r"\|") * 10 > words, "table")
             .when(count(r"[#*$%&<>]") * 3 > words, "symbols")
-            .when(count("[A-Z]") > count("[a-z]"), "shouting")
+            .when(count_chars(body, "A-Z") > count_chars(body, "a-z"), "shouting")
             .otherwise("prose")
         )
 
