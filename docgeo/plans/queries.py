@@ -32,6 +32,9 @@ CUSTOM_PATTERNS = {
 
 TOP_N = 3
 
+# The document that the single-document accessors show.
+SHOWN_DOCUMENT = 7
+
 
 def r6(c: str) -> F.Column:
     return F.round(F.col(c), 6).alias(c)
@@ -78,6 +81,10 @@ def q_language_default(spark, d):
     return P.languages(_inputs(Fixtures(spark, d), threshold=0.5))
 
 
+def q_given_language(spark, d):
+    return P.languages(_inputs(Fixtures(spark, d), profile=None))
+
+
 # ---------------------------------------------------------------- extraction
 
 
@@ -252,6 +259,18 @@ def q_all_grades(spark, d):
     return P.field_of_all(M.extract_metadata(Fixtures(spark, d).report_documents()), "grade")
 
 
+def q_coordinates_of_document(spark, d):
+    return P.coordinates_of(P.geocoded(_inputs(Fixtures(spark, d)))[0], SHOWN_DOCUMENT)
+
+
+def q_languages_of_document(spark, d):
+    return P.languages_of(q_language_proportions(spark, d), SHOWN_DOCUMENT)
+
+
+def q_metadata_of_document(spark, d):
+    return P.metadata_of(q_metadata_reference_patterns(spark, d), SHOWN_DOCUMENT)
+
+
 def q_file_ids(spark, d):
     pages = Fixtures(spark, d).table("pages")
     return pages.select(F.col("page_id").alias("doc_id"), file_id(F.col("url")).alias("file_name"))
@@ -261,6 +280,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "language_proportions": q_language_proportions,
     "relevant_languages": q_relevant_languages,
     "language_default": q_language_default,
+    "given_language": q_given_language,
     "consolidated_entities": q_consolidated_entities,
     "combined_models": q_combined_models,
     "clean_names": q_clean_names,
@@ -290,5 +310,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metadata_raw_text": q_metadata_raw_text,
     "text_preview": q_text_preview,
     "all_grades": q_all_grades,
+    "coordinates_of_document": q_coordinates_of_document,
+    "languages_of_document": q_languages_of_document,
+    "metadata_of_document": q_metadata_of_document,
     "file_ids": q_file_ids,
 }

@@ -311,6 +311,10 @@ def build() -> dict[str, str]:
         "cache_misses": _q(main, "SELECT query FROM misses"),
         "resolved_names": _q(main, "SELECT * FROM resolved"),
         "updated_cache": _q(main, "SELECT * FROM new_cache"),
+        "given_language": "SELECT doc_id, lang AS code, 1 AS model_rank FROM documents",
+        "coordinates_of_document": _q(main, f"SELECT {geo8} FROM doc_geo WHERE doc_id = 7"),
+        "languages_of_document": _q(main, "SELECT doc_id, code, round(proportion, 6) AS proportion, rank FROM doc_language_ranked WHERE doc_id = 7"),
+        "metadata_of_document": "SELECT * FROM (" + _q(FIXTURES, meta("report_docs", {"grade": GRADE, "funding_volume": FUNDING, "date": DATE})) + ") WHERE doc_id = 7",
         "doc_coordinates": _q(main, f"SELECT {geo8} FROM doc_geo"),
         "unresolved_names": _q(main, "SELECT doc_id, location, frequency FROM unresolved"),
         "class_type_filter": _q(main, f"SELECT {geo8} FROM filtered"),
