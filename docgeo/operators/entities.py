@@ -7,12 +7,14 @@ span several tokens.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank, tokens
+from docgeo.session import ship_package
 
 # Entity tags the workflow keeps as places.
 PLACE_TAGS = ("LOC", "GPE")
@@ -72,7 +74,7 @@ def tag_entities(
 
     Every run of up to ``max_n`` tokens is looked up in the lexicon of each language chosen for the document
     (``languages``: doc_id, code, model_rank). Tokens are produced and probed inside the scan's partitions
-    against a size-checked broadcast of the lexicon; only the hits are shuffled, to meet the per-document
+    (Catalyst broadcasts the lexicon if it is small enough); only the hits are shuffled, to meet the per-document
     language choice.
     """
     if max_n is None:
@@ -86,44 +88,33 @@ def tag_entities(
     )
 
 
+def _leftmost_longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans sorted by document, model, start and falling length: those that start at or after the end of the last kept one."""
+    key, end = None, 0
+    for batch in batches:
+        keep = []
+        for doc, rank, pos, size in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if (doc, rank) != key:
+                key, end = (doc, rank), 0
+            keep.append(pos >= end)
+            if keep[-1]:
+                end = pos + size
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:
     """Leftmost-longest choice among overlapping candidate spans, per document and model.
 
     Scanning left to right, a span is kept when it starts at or after the end of the last kept span; among spans
-    with one start the longest wins. The scan restarts wherever no earlier span reaches past a start, so spans are
-    cut into runs of overlapping spans (running maximum of ends, a sort-based window that streams and spills).
-    A run of one span, which is almost every span, is kept as is; only runs of several spans are folded, one
-    group per run (never per document), with ``F.aggregate`` over the run's spans in start order.
+    with one start the longest wins, then the lowest lemma and type. One shuffle of the lexicon hits by document and
+    one sort; the scan streams over the sorted rows and holds nothing but the last end, so neither a long document nor
+    a long chain of overlapping spans needs memory. ``max_n`` (the longest entry) is not needed for it.
     """
-    by_start = Window.partitionBy(*KEY, "pos").orderBy(F.desc("len"), F.asc("lemma"), F.asc("entity_type"))
-    best = candidates.withColumn("_r", F.row_number().over(by_start)).where("_r = 1").drop("_r")
-    if max_n <= 1:
-        return best
-    order = Window.partitionBy(*KEY).orderBy("pos")
-    reach = F.max(F.col("pos") + F.col("len")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (
-        best.select(*KEY, "pos", "len")
-        .withColumn("_new", F.coalesce((F.col("pos") >= reach).cast("int"), F.lit(1)))
-        .withColumn("run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("run_size", F.count(F.lit(1)).over(Window.partitionBy(*KEY, "run")))
-    )
-    single = runs.where("run_size = 1").select(*KEY, "pos")
-
-    def step(acc, sp):
-        take = sp["pos"] >= acc["end"]
-        return F.struct(
-            F.when(take, sp["pos"] + sp["len"]).otherwise(acc["end"]).alias("end"),
-            F.when(take, F.concat(acc["kept"], F.array(sp["pos"]))).otherwise(acc["kept"]).alias("kept"),
-        )
-
-    start = F.struct(F.lit(-1).alias("end"), F.array().cast("array<int>").alias("kept"))
-    folded = (
-        runs.where("run_size > 1")
-        .groupBy(*KEY, "run")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "len"))).alias("spans"))
-        .select(*KEY, F.explode(F.aggregate("spans", start, step)["kept"]).alias("pos"))
-    )
-    return best.join(single.unionByName(folded), KEY + ["pos"], "left_semi")
+    ship_package(candidates.sparkSession)
+    columns = [*KEY, "pos", "len", *[c for c in candidates.columns if c not in (*KEY, "pos", "len")]]
+    ordered = candidates.select(*columns).repartition(*KEY).sortWithinPartitions(*KEY, "pos", F.desc("len"), "lemma", "entity_type")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema)
+    return ordered.mapInArrow(_leftmost_longest, schema).select(*candidates.columns)
 
 
 def keep_tags(mentions: DataFrame, tags: Sequence[str] = PLACE_TAGS) -> DataFrame:

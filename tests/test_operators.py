@@ -105,6 +105,18 @@ def test_missing_coordinates_take_no_part(spark):
     assert set(scored) == set("abcdef") and all(scored[q] == 0.0 for q in "def") and scored["b"] == 1.0
 
 
+def test_consolidate_a_long_chain_against_a_plain_scan(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(d), 1, int(p), int(n), f"t{p}", f"l{n}", "GPE") for d in (1, 2) for p in range(3000) for n in rng.choice([1, 2, 3], size=rng.integers(1, 3), replace=False)]
+    schema = "doc_id long, model_rank int, pos int, len int, token string, lemma string, entity_type string"
+    want, end = [], {}
+    for r in sorted(rows, key=lambda r: (r[0], r[2], -r[3])):
+        if r[2] >= end.get(r[0], 0):
+            want.append(r)
+            end[r[0]] = r[2] + r[3]
+    assert sorted(tuple(r) for r in E.consolidate(spark.createDataFrame(rows, schema).repartition(5), 3).collect()) == sorted(want)
+
+
 def test_regex_metadata(spark):
     df = spark.createDataFrame(
         [(1, "Die Fördersumme liegt bei 10 Millionen €."), (2, "rating: 4 Note 2"), (3, "am 3.10.2019 EUR 12,5 Mio.")],
