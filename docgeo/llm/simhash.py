@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgeo.llm.common import map_arrow, slices, written
+from docgeo.llm.common import cells, map_arrow, slices, written
 from docgeo.llm.components import Forest, components
 
 SEED = 42
@@ -179,24 +179,10 @@ def fingerprint_links(fps: DataFrame, radius: int, blocks: int | None = None) ->
     gives the same components. Radius + 1 suits up to about a hundred million fingerprints, radius + 3 billions.
     """
     posted = fps.select("fp", F.explode(posting_keys(F.col("fp"), radius, blocks or radius + 1)).alias("k")).select("fp", "k.choice", "k.bits")
-    crowded = written(
-        posted.groupBy("choice", "bits").count().filter(F.col("count") > SHARD).select("choice", "bits", F.ceil(F.col("count") / SHARD).cast("int").alias("shards")),
-        "simhash-crowded",
-    )
-    shards = F.coalesce("shards", F.lit(1))
-    own = F.pmod(F.xxhash64("fp"), shards).cast("int")
-    cells = posted.join(crowded, ["choice", "bits"], "left").select("fp", "choice", "bits", shards.alias("shards"), own.alias("own"))
-    cells = cells.select("fp", "choice", "bits", "own", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("other"))
-    cells = cells.select(
-        "choice",
-        "bits",
-        F.least("own", "other").alias("low"),
-        F.greatest("own", "other").alias("high"),
-        "fp",
-        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-    )
+    grid = cells(posted, ["choice", "bits"], "fp", SHARD, "simhash-crowded")
     key = ["choice", "bits", "low", "high"]
-    return map_arrow(cells.repartition(*key).sortWithinPartitions(*key), _search_cells(radius), "a long, b long")
+    rows = grid.repartition(*key).sortWithinPartitions(*key).select(*key, "fp", "side")
+    return map_arrow(rows, _search_cells(radius), "a long, b long")
 
 
 def simhash_classes(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
