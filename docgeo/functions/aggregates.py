@@ -12,11 +12,6 @@ def avg_strict(c: str | Column) -> Column:
     return F.when(F.count(c) == F.count(F.lit(1)), F.avg(c))
 
 
-def sum_strict(c: str | Column) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(F.count(c) == F.count(F.lit(1)), F.sum(c))
-
-
 def first_by(c: str | Column, order: Column) -> Column:
     """Value of ``c`` on the row with the smallest ``order`` key: "first in row order" made explicit, so the
     result does not depend on how a shuffle happened to interleave rows."""
