@@ -1,12 +1,15 @@
 """Secret scans: fixed patterns, and a battery of randomness tests for strings that no pattern names.
 
 DataFrame functions only. Candidate strings get an inferred encoding; chi-squared uniformity over that alphabet, a runs test
-and a serial-correlation test say whether a string looks random. How unlikely a natural string of its length and encoding
-would look so even is its p-value for false-discovery control (Benjamini-Hochberg) within a class of encoding and length.
+and a serial-correlation test say whether a string looks random. How unlikely a natural string would have symbols so unlike
+those of words is its p-value for false-discovery control (Benjamini-Hochberg) within a class of encoding and length. What
+is natural comes from the symbols of the corpus's ordinary words, so it needs no natural strings of the same encoding.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +38,12 @@ LENGTHS = (32, 48, 80, 160)  # bounds of the length classes
 
 BATTERY_LEVEL = 0.001  # a random string fails the battery with this probability
 DISCOVERY_RATE = 0.05
-NATURAL_LEVEL = 1e-6  # strings that fail the battery so clearly show how uneven natural strings are
-PRIOR_EXCESS, PRIOR_STRINGS = 0.5, 10.0  # unevenness of natural strings where few are found, and its weight
+NATURAL_LEVEL = 1e-6  # strings that fail the battery so clearly show which symbols natural strings have
+PRIOR_STRINGS = 10.0  # natural strings of an encoding that weigh as much as the words
+ANY_SYMBOL = 0.1  # the share of a natural string's symbols that may be anything
+# Symbols of words in any case, and how they count (1,000 symbols in all) besides the corpus's words
+SYMBOLS = _LOWER + _DIGITS + "+/"
+USUAL = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1) + (2,) * 10 + (1, 1)
 P_BINS = 400  # bins of log p, 0.1 wide: the false-discovery step sees counts per bin, never a list of all strings
 
 _CHUNK = 256
@@ -118,7 +125,7 @@ def upper_tail(z: str) -> Column:
 
 
 def battery(strings: DataFrame) -> DataFrame:
-    """``strings`` (with ``token``) with ``encoding, n, m, chi2`` and ``p_random``, the battery's combined p-value."""
+    """``strings`` (with ``token``) with ``encoding, n, m, chi2, counts`` (of each symbol) and ``p_random``, the battery's combined p-value."""
     rows = strings.withColumn("encoding", F.coalesce(*[F.when(F.col("token").rlike(p), F.lit(e)) for e, (p, _) in ENCODINGS.items()]))
     alphabet = F.coalesce(*[F.when(F.col("encoding") == e, F.lit(a)) for e, (_, a) in ENCODINGS.items()])
     body = F.when(F.col("encoding") == "hex", F.lower("token")).otherwise(F.translate("token", "-_", "+/"))
@@ -152,20 +159,50 @@ def battery(strings: DataFrame) -> DataFrame:
     rows = rows.withColumn("_fisher", -(log_p[0] + log_p[1] + log_p[2]))
     f = F.col("_fisher")
     rows = rows.withColumn("p_random", F.exp(-f) * (1 + f + f * f / 2))
-    return rows.drop(*[c for c in rows.columns if c.startswith("_") and c != "_row"])
+    return rows.withColumn("counts", F.col("_counts")).drop(*[c for c in rows.columns if c.startswith("_") and c != "_row"])
+
+
+def words_of(text: Column) -> Column:
+    """``text`` without its candidate strings, in lower case and with one character for each symbol of base64."""
+    words = F.when(text.rlike(CANDIDATE), F.regexp_replace(text, CANDIDATE, " ")).otherwise(text)
+    return F.replace(F.replace(F.lower(words), F.lit("-"), F.lit("+")), F.lit("_"), F.lit("/"))
+
+
+def symbol_counts(words: str) -> Column:
+    """How often each of ``SYMBOLS`` stands in the column ``words``."""
+    return F.array(*[(F.octet_length(words) - F.octet_length(F.replace(F.col(words), F.lit(c), F.lit("")))).cast("long") for c in SYMBOLS])
+
 
+def natural_scores(words: list[float], natural: dict[str, tuple[float, list[float]]]) -> dict[str, list[float]]:
+    """For each encoding the log ratio of every symbol's probability in a random and in a natural string.
 
-def discoveries(tested: DataFrame) -> DataFrame:
-    """The rows of ``tested`` that are taken for secrets: random by the battery, and past the false-discovery threshold."""
+    ``words``: counts of ``SYMBOLS`` in words; ``natural``: number of natural strings of an encoding, and sums of their shares
+    of each symbol. Letters of words count for either case, as words may be written in both.
+    """
+    of = {c: w + u for c, w, u in zip(SYMBOLS, words, USUAL, strict=True)}
+    out = {}
+    for encoding, (_, alphabet) in ENCODINGS.items():
+        plain = [of[c.lower()] for c in alphabet]
+        k, shares = natural.get(encoding, (0, [0.0] * len(alphabet)))
+        mixed = [(PRIOR_STRINGS * w / sum(plain) + s) / (PRIOR_STRINGS + k) for w, s in zip(plain, shares, strict=True)]
+        out[encoding] = [-math.log((1 - ANY_SYMBOL) * p * len(alphabet) + ANY_SYMBOL) for p in mixed]
+    return out
+
+
+def discoveries(tested: DataFrame, words: list[float]) -> DataFrame:
+    """The rows of ``tested`` that are taken for secrets: random by the battery, and past the false-discovery threshold.
+
+    A natural string whose likelihood ratio of random to natural symbols is r or more has a probability of 1 / r at most,
+    whatever its length: so 1 / r is its p-value.
+    """
+    most = max(len(a) for _, a in ENCODINGS.values())
+    shares = [F.sum((F.get("counts", F.lit(k)) / F.col("n")).cast("decimal(30,9)")).cast("double") for k in range(most)]
+    seen = tested.filter(F.col("p_random") < NATURAL_LEVEL).groupBy("encoding").agg(F.count("*").alias("k"), F.array(*shares).alias("shares")).collect()  # a row per encoding
+    natural = {r["encoding"]: (r["k"], r["shares"][: len(ENCODINGS[r["encoding"]][1])]) for r in seen}
+    scores = F.coalesce(*[F.when(F.col("encoding") == e, F.array(*[F.lit(x) for x in s])) for e, s in natural_scores(words, natural).items()])
     length = F.coalesce(*[F.when(F.col("n") < b, i) for i, b in enumerate(LENGTHS)], F.lit(len(LENGTHS)))
-    rows = tested.withColumns({"length": length, "excess": (F.col("chi2") - F.col("m") + 1) / (F.col("n") - 1)})
-    natural = rows.filter(F.col("p_random") < NATURAL_LEVEL).groupBy(F.col("encoding").alias("of")).agg(F.sum(F.col("excess").cast("decimal(30,9)")).cast("double").alias("sum"), F.count("*").alias("k"))
-    rows = rows.join(natural, F.col("encoding") == F.col("of"), "left")  # at most one row per encoding
-    excess = (F.coalesce("sum", F.lit(0.0)) + PRIOR_EXCESS * PRIOR_STRINGS) / (F.coalesce("k", F.lit(0)) + PRIOR_STRINGS)
-    rows = rows.withColumn("_excess", F.greatest(excess, F.lit(0.05)) * (F.col("n") - 1))
-    rows = rows.withColumn("_z", (F.col("m") - 1 + F.col("_excess") - F.col("chi2")) / F.sqrt((F.col("m") - 1) * 2 + F.col("_excess") * 4))
-    rows = rows.withColumn("p_natural", upper_tail("_z"))
-    rows = rows.withColumn("bin", F.least(F.lit(P_BINS), F.floor(-F.log(F.greatest("p_natural", F.lit(1e-300))) * 10)).cast("int"))
+    ratio = F.aggregate(F.zip_with("counts", scores, lambda o, s: o * s), F.lit(0.0), lambda a, x: a + x)
+    rows = tested.withColumns({"length": length, "bin": F.least(F.lit(P_BINS), F.floor(F.greatest(ratio, F.lit(0.0)) * 10)).cast("int")})
     # Benjamini-Hochberg on bins: strings of a bin or a smaller p, and the largest p in the bin
     group = ["encoding", "length"]
     counts = rows.groupBy(*group, "bin").agg(F.count("*").alias("n_bin"))  # at most encodings x lengths x bins rows
@@ -187,7 +224,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     Offsets are code points of the whole text, ends exclusive. Kinds: ``assign``, ``access``, ``hex`` (fixed patterns), and
     ``random`` (the battery's finds that overlap no other span). A null or empty text has no spans. Repeated rows and null
-    keys give one row each; other columns are not read. What is kept between the two passes is the spans alone.
+    keys give one row each; other columns are not read. What is kept between the two passes is the spans and symbol counts.
     """
     rows = docs.select(docs[key].alias(key), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
     t = F.col("text")
@@ -197,13 +234,14 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = with_matches(rows, "candidates", "text", CANDIDATE, t.rlike(CANDIDATE))
     rows = rows.withColumn("assign", F.filter("assign", lambda x: F.length(x["token"]) >= ASSIGN_LEAST))
     ranked = [_ranked(k) for k in KINDS[:3]]
-    rows = rows.select(key, F.concat(*ranked).alias("base"), "candidates", F.monotonically_increasing_id().alias("_row"))
+    rows = rows.withColumn("_words", words_of(t)).select(key, F.concat(*ranked).alias("base"), "candidates", symbol_counts("_words").alias("symbols"), F.monotonically_increasing_id().alias("_row"))
     found = written(rows, "secrets-found")
+    words = [float(x or 0) for x in found.agg(*[F.sum(F.col("symbols")[k]) for k in range(len(SYMBOLS))]).first()]
     strings = found.filter(F.size("candidates") > 0).select("_row", "base", F.explode("candidates").alias("c")).select("_row", "base", "c.*")
     tested = written(battery(strings), "secrets-tested")
     free = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
     new = F.struct("start", F.lit(3).alias("rank"), "end", F.lit(KINDS[3]).alias("kind"))
-    added = discoveries(tested).filter(free).groupBy(F.col("_row").alias("_of")).agg(F.collect_list(new).alias("added"))
+    added = discoveries(tested, words).filter(free).groupBy(F.col("_row").alias("_of")).agg(F.collect_list(new).alias("added"))
     joined = found.join(added, F.col("_row") == F.col("_of"), "left")
     return joined.select(key, F.sort_array(F.concat("base", F.coalesce("added", F.slice("base", F.lit(1), F.lit(0))))).alias("spans"))
 

@@ -64,6 +64,17 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert not any(out[i] for i in out if i >= 100)
 
 
+@pytest.mark.parametrize("encoding", ["hex", "base32", "base62", "base64"])
+@pytest.mark.parametrize("size", [20, 32, 40])
+def test_short_random_strings_without_natural_neighbours(spark, encoding, size):
+    rnd = random.Random(size)
+    alphabet = secrets.ENCODINGS[encoding][1].upper() if encoding == "hex" else secrets.ENCODINGS[encoding][1]
+    prose = ["the", "committee", "approved", "its", "annual", "budget", "after", "long", "debate", "and", "12", "members", "voted"]
+    rows = [(i, "the key " + "".join(rnd.choice(alphabet) for _ in range(size)) + " " + " ".join(rnd.choice(prose) for _ in range(40))) for i in range(100)]
+    out = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum([(x["start"], x["end"]) for x in r["spans"]] == [(8, 8 + size)] for r in out) >= 90
+
+
 def test_battery_against_plain_formulas(spark):
     tokens = ["0123456789abcdef0123456789abcdef", "Zm9vYmFyYmF6cXV4Zm9vYmFyYmF6", "AAAAAAAAAAAAAAAAAAAAAAAA", "3141592653589793238462643383"]
     got = {r["token"]: r for r in secrets.battery(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()}
