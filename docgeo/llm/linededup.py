@@ -290,25 +290,30 @@ def line_links(docs: DataFrame, edits: int, min_chars: int, text: str = "text")
     return map_arrow(rows, _verify(edits), "a long, b long")
 
 
-def line_occurrences(docs: DataFrame, min_chars: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, line_no, line`` (number of the text) of the lines that take part."""
+def line_occurrences(docs: DataFrame, min_chars: int, key: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
+    """``key, line_no, line`` (number of the text) of the lines that take part; with ``short`` all that are not blank."""
     lines = docs.filter(docs[key].isNotNull()).select(docs[key].alias(key), F.posexplode(F.split(docs[text].cast("string"), "\n")).alias("line_no", "text"))
-    return lines.filter(F.length("text") >= min_chars).select(key, "line_no", F.xxhash64("text").alias("line"))
+    some = F.length("text") >= min_chars
+    if short:
+        some = some | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return lines.filter(some).select(key, "line_no", F.xxhash64("text").alias("line"))
 
 
-def line_classes(docs: DataFrame, edits: int = 2, min_chars: int = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
+def line_classes(docs: DataFrame, edits: int = 2, min_chars: int = 16, key: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """``key, line_no, first_<key>, first_line_no, kept`` for every line of at least ``min_chars`` characters.
 
+    With ``short`` also for every shorter line that is not blank (ASCII white space); those are classed by equality alone.
+
     Lines are split at line feeds and numbered from 0. Lines within ``edits`` (character insertions, deletions and
     substitutions) of each other are linked; a class holds what links reach. ``first_*`` is the class's first occurrence in
-    order of (key, line_no), and only that one is ``kept``. Shorter lines, and rows whose key or text is null, have no
+    order of (key, line_no), and only that one is ``kept``. Other lines, and rows whose key or text is null, have no
     result. Repeated rows repeat their lines, and all copies of the first occurrence are kept. Identical lines are one
     number (64-bit hash) from the start, so copies cost nothing in the join.
     """
     if min_chars <= edits:
         raise ValueError("min_chars must exceed edits")
     linked = components(line_links(docs, edits, min_chars, text), "a", "b", "line-links")
-    here = written(line_occurrences(docs, min_chars, key, text), "line-occurrences")
+    here = written(line_occurrences(docs, min_chars, key, text, short), "line-occurrences")
     place = F.struct(key, "line_no")
     first = here.groupBy("line").agg(F.min(place).alias("first"))
     reached = first.join(linked, first["line"] == linked["node"]).select("line", "root", "first")
@@ -333,6 +338,9 @@ def without_lines(text: Column, gone: Column) -> Column:
 def drop_duplicate_lines(docs: DataFrame, edits: int = 2, min_chars: int = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines removed that repeat an earlier line of the corpus (see ``line_classes``); same columns.
 
+    Lines of fewer than ``min_chars`` characters all stay, exact repeats too: in running text a closing brace, a heading or a
+    table cell has its meaning from the lines around it. ``line_classes`` reports them with ``short``.
+
     A document that loses lines and keeps no word is dropped; one that had none before stays. Rows with a null key or text
     stay as they are. Other columns pass unchanged, whatever their names.
     """

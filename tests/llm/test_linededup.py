@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from docgeo.llm import linededup as L
+from docgeo.llm import queries
 
 
 def distance(a, b):
@@ -100,5 +101,21 @@ def test_whole_table(spark):
     assert sorted(tuple(r) for r in got) == brute(short, 2, 16)
 
 
+def test_short_lines_are_classed_by_equality(spark):
+    docs = spark.createDataFrame([(1, "Home\n \t\nContact us\nHome"), (2, "Homer\n\nHome\na line of many more characters"), (3, "Contact us\na line of many more charakters")], "doc_id long, text string")
+    got = sorted(tuple(r) for r in L.line_classes(docs, short=True).collect())
+    assert got == [(1, 0, 1, 0, True), (1, 2, 1, 2, True), (1, 3, 1, 0, False), (2, 0, 2, 0, True), (2, 2, 1, 0, False), (2, 3, 2, 3, True), (3, 0, 1, 2, False), (3, 1, 2, 3, False)]
+
+
+def test_query_has_short_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    want = {(r["doc_id"], i): x for r in docs for i, x in enumerate((r["text"] or "").split("\n")) if len(x) < 16 and x.strip(" \t\n\x0b\x0c\r")}
+    got = {(r["doc_id"], r["line_no"]): r for r in queries.QUERIES["op10_line_dedup"](spark, "/root/testdata/sf0.001").collect()}
+    first = {}
+    for at, x in sorted(want.items()):
+        first.setdefault(x, at)
+    assert want and all((got[at]["first_doc_id"], got[at]["first_line_no"]) == first[x] for at, x in want.items())
+
+
 def test_array_positions():
     assert np.array_equal([s for s, _ in L.segments(11, 2)], [0, 3, 7])
