@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgeo.llm import ann, bpe, langid, linededup, mixing, quality, secrets, simhash, toxicity, warc
+from docgeo.llm import ann, bpe, divergence, langid, linededup, mixing, quality, secrets, simhash, toxicity, warc
 from docgeo.llm.common import table
 from docgeo.session import new_table_path
 
@@ -88,6 +88,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_classes(table(spark, sf_dir, "documents"), edits=2, min_chars=16, short=True)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source of all documents from the others of its language, and its leading terms."""
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_simhash": op2_simhash,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_line_dedup": op10_line_dedup,
+    "op13_divergence": op13_divergence,
 }
 
 # DuckDB SQL for the queries that SQL can express; the others are tested against brute force in tests/llm.
@@ -113,5 +119,29 @@ SELECT page_id, payload_bytes,
     CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
 FROM m
+""",
+    "op13_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{80}-\x{10FFFF}]+') AS found FROM documents),
+t AS (SELECT row, lang, source, translate(unnest(found), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+g AS (SELECT DISTINCT lang, source FROM d),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+        1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 2)) // (coalesce(n.n, 0) + 2 * v.v)::HUGEINT AS p,
+        1 + (1000000000::HUGEINT * (kept.total + 2)) // (v.n + 2 * v.v)::HUGEINT AS q
+    FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+scored AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM scored)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """,
 }
