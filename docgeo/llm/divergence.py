@@ -26,7 +26,7 @@ SEED = 42
 UNIT = 1_000_000_000  # shares are counted in billionths
 
 # Distinct (group, term) entries that a worker adds up before it sends them on.
-ENTRIES = 1 << 18
+ENTRIES = 1 << 19
 
 # Sources in a block and expected terms in a bucket: a cell holds at most two blocks of sources for one bucket.
 BLOCK_SOURCES = 64
