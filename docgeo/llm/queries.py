@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgeo.llm import ann, bpe, divergence, langid, linededup, mixing, quality, secrets, simhash, toxicity, warc
+from docgeo.llm import ann, bpe, divergence, langid, linededup, mixing, phrases, quality, secrets, simhash, substrings, toxicity, warc
 from docgeo.llm.common import table
 from docgeo.session import new_table_path
 
@@ -88,6 +88,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_classes(table(spark, sf_dir, "documents"), edits=2, min_chars=16, short=True)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 50 words that an earlier one has; digest of what is kept."""
+    out = substrings.without_repeats(table(spark, sf_dir, "documents"), window=50)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading 2000 phrases of two and three words of each language, over all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), max_words=3, min_count=10, absorb_percent=50, top=2000)
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every source of all documents from the others of its language, and its leading terms."""
     return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=10, top=10)
@@ -104,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_line_dedup": op10_line_dedup,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_collocations": op12_collocations,
     "op13_divergence": op13_divergence,
 }
 
@@ -119,6 +132,45 @@ SELECT page_id, payload_bytes,
     CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
 FROM m
+""",
+    "op11_substring_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT row, doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h FROM
+    (SELECT row, doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+first AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h),
+gone AS (SELECT row, s FROM win JOIN first USING (h) WHERE doc_id > low),
+covered AS (SELECT DISTINCT row, unnest(range(s, s + 50)) AS i FROM gone),
+removed AS (SELECT row, list(i) AS i FROM covered GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(removed.i), 0)::BIGINT AS n_removed,
+    sha256(CASE WHEN removed.i IS NULL THEN array_to_string(w, ' ')
+        ELSE array_to_string(list_filter(w, lambda x, n: NOT list_contains(removed.i, n)), ' ') END) AS kept_sha256
+FROM d LEFT JOIN removed USING (row)
+""",
+    "op12_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+piece AS (SELECT lang, unnest(regexp_extract_all(text, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+occurrence AS (
+    SELECT lang, 1 AS words, unnest(w) AS phrase FROM w
+    UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+    UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+f AS (SELECT lang, words, phrase, count(*)::HUGEINT AS n FROM occurrence GROUP BY lang, words, phrase),
+n AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, phrase, n AS a, string_split(phrase, ' ') AS p FROM f WHERE words > 1 AND n >= 10),
+cut AS (
+    SELECT lang, phrase, a, 1 AS k, p[1] AS first, array_to_string(p[2:], ' ') AS rest FROM c
+    UNION ALL SELECT lang, phrase, a, 2, p[1] || ' ' || p[2], p[3] FROM c WHERE words = 3),
+scored AS (SELECT cut.lang, cut.phrase, a, k, l.n AS l, r.n AS r, 1000000 * a * a // (l.n * r.n) AS score
+    FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = first JOIN f r ON r.lang = cut.lang AND r.phrase = rest),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, p[1] || ' ' || p[2] AS phrase, a AS longer FROM c WHERE words = 3
+    UNION ALL SELECT lang, p[2] || ' ' || p[3], a FROM c WHERE words = 3),
+absorbed AS (SELECT lang, phrase, max(longer) AS longer FROM inside GROUP BY lang, phrase),
+own AS (SELECT least.* FROM least LEFT JOIN absorbed USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM own)
+SELECT ranked.lang, rank::INT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n.n, score::BIGINT AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
 """,
     "op13_divergence": r"""
 WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
