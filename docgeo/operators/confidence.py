@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgeo.functions.geo import haversine_km
@@ -25,31 +25,30 @@ GAIN = 1.15
 DISTANCE_DECIMALS = 6  # distances are compared after rounding to 1 mm, so engines agree on distinctness
 
 
-def centroid_distance(doc_geo: DataFrame) -> DataFrame:
-    """doc_geo + c_lat, c_lon (frequency-weighted mean degrees) + distance_km (rounded to 6 decimals).
-
-    A place that lacks a coordinate takes no part in the centroid and has no distance (NULL).
+def centroids(doc_geo: DataFrame) -> DataFrame:
+    """(doc_id, c_lat, c_lon): frequency-weighted mean degrees of the places that have both coordinates.
 
-    One hash partitioning by doc_id serves the centroid window and the clustering that follows. A document's rows
-    are its distinct geocoded names, so a group is bounded by the location cache, not by the text length.
+    Exact decimal sums, added up in every task before they are shuffled: a document with very many places sends one row
+    per task, and runs (and engines) agree however the rows were split.
     """
-    w = Window.partitionBy("doc_id")
     f = F.col("frequency").cast("decimal(12,0)")
-    known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    weight = F.sum(F.when(known, F.col("frequency"))).over(w).cast("double")
-
-    def wmean(c):
-        # exact decimal sum: independent of how rows were split across partitions, so runs (and engines) agree
-        return F.sum(F.when(known, F.col(c).cast("decimal(20,9)") * f)).over(w).cast("double") / weight
-
-    return (
-        doc_geo.withColumn("c_lat", wmean("lat"))
-        .withColumn("c_lon", wmean("lon"))
-        .withColumn(
-            "distance_km",
-            F.round(haversine_km(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")), DISTANCE_DECIMALS),
-        )
+    known = doc_geo.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    sums = known.groupBy("doc_id").agg(
+        F.sum("frequency").cast("double").alias("weight"),
+        *[F.sum(F.col(c).cast("decimal(20,9)") * f).cast("double").alias(c) for c in ("lat", "lon")],
     )
+    return sums.select("doc_id", (F.col("lat") / F.col("weight")).alias("c_lat"), (F.col("lon") / F.col("weight")).alias("c_lon"))
+
+
+def centroid_distance(doc_geo: DataFrame) -> DataFrame:
+    """doc_geo + c_lat, c_lon (frequency-weighted mean degrees) + distance_km (rounded to 6 decimals).
+
+    A place that lacks a coordinate takes no part in the centroid and has no distance (NULL). The centroids, one row per
+    document, are joined back; no window holds a document's rows together, and AQE splits the join for a large one.
+    """
+    distance = haversine_km(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon"))
+    joined = doc_geo.join(centroids(doc_geo), "doc_id", "left").select(*doc_geo.columns, "c_lat", "c_lon")
+    return joined.withColumn("distance_km", F.round(distance, DISTANCE_DECIMALS))
 
 
 def _dc_dp(x: np.ndarray, m: np.ndarray, kmax: int):

@@ -7,60 +7,21 @@ span several tokens.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank, tokens
-from docgeo.session import ship_package
+from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank
+from docgeo.operators.scan import candidates, longest_entry, prepare_lexicon, text_hits  # noqa: F401
 
 # Entity tags the workflow keeps as places.
 PLACE_TAGS = ("LOC", "GPE")
 
 KEY = ["doc_id", "model_rank"]
 
-
-def prepare_lexicon(lexicon: DataFrame, pattern: str = WORD_PATTERN) -> DataFrame:
-    """Lexicon keyed the way the tagger sees text: surface re-tokenised and joined by one blank."""
-    toks = tokens("surface", pattern)
-    return lexicon.select(
-        "lang",
-        F.array_join(toks, " ").alias("gram"),
-        F.size(toks).alias("len"),
-        "lemma",
-        "entity_type",
-    ).where(F.col("len") > 0)
-
-
-def longest_entry(lexicon: DataFrame, pattern: str = WORD_PATTERN) -> int:
-    """Number of tokens of the longest lexicon surface (one small job)."""
-    row = prepare_lexicon(lexicon, pattern).agg(F.max("len")).first()
-    return int(row[0] or 1)
-
-
-def ngrams(docs: DataFrame, max_n: int, pattern: str = WORD_PATTERN) -> DataFrame:
-    """(doc_id, pos, len, gram) for every run of 1..max_n consecutive tokens, joined by one blank.
-
-    Built from native expressions only (no per-element lambdas, which run interpreted): the token array is zipped
-    with its shifted copies, exploded with positions, and each row yields its n-grams by ``concat``. Rows stay in
-    the scan's partitions (no shuffle).
-    """
-    toks = F.col("toks")
-    shifted = [F.slice(toks, k + 1, F.greatest(F.size(toks) - k, F.lit(0))).alias(f"t{k}") for k in range(max_n)]
-    z = docs.select("doc_id", tokens("text", pattern).alias("toks")).select("doc_id", *shifted)
-    z = z.select("doc_id", F.posexplode(F.arrays_zip(*[F.col(f"t{k}") for k in range(max_n)])).alias("pos", "z"))
-    spans = [
-        F.struct(F.lit(n).alias("len"), F.concat_ws(" ", *[F.col(f"z.t{k}") for k in range(n)]).alias("gram"),
-                 F.col(f"z.t{n - 1}").isNotNull().alias("ok"))
-        for n in range(1, max_n + 1)
-    ]
-    return (
-        z.select("doc_id", "pos", F.explode(F.array(*spans)).alias("g"))
-        .where(F.col("g.ok"))
-        .select("doc_id", "pos", F.col("g.len").alias("len"), F.col("g.gram").alias("gram"))
-    )
+# Token positions that one group of the consolidation covers.
+BLOCK = 1024
 
 
 def tag_entities(
@@ -72,49 +33,62 @@ def tag_entities(
 ) -> DataFrame:
     """Entity candidates (doc_id, model_rank, pos, len, token, lemma, entity_type).
 
-    Every run of up to ``max_n`` tokens is looked up in the lexicon of each language chosen for the document
-    (``languages``: doc_id, code, model_rank). Tokens are produced and probed inside the scan's partitions
-    (Catalyst broadcasts the lexicon if it is small enough); only the hits are shuffled, to meet the per-document
-    language choice.
+    Every run of tokens that the lexicon lists for a language chosen for the document (``languages``: doc_id, code,
+    model_rank). Only the hits are shuffled, to meet the per-document language choice.
     """
-    if max_n is None:
-        max_n = longest_entry(lexicon, pattern)
-    lex = prepare_lexicon(lexicon, pattern)
-    grams = ngrams(docs, max_n, pattern)
-    hits = grams.join(lex, ["gram", "len"])
-    chosen = languages.select("doc_id", F.col("code").alias("lang"), "model_rank")
-    return hits.join(chosen, ["doc_id", "lang"]).select(
-        "doc_id", "model_rank", "pos", "len", F.col("gram").alias("token"), "lemma", "entity_type"
-    )
-
-
-def _leftmost_longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans sorted by document, model, start and falling length: those that start at or after the end of the last kept one."""
-    key, end = None, 0
-    for batch in batches:
-        keep = []
-        for doc, rank, pos, size in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if (doc, rank) != key:
-                key, end = (doc, rank), 0
-            keep.append(pos >= end)
-            if keep[-1]:
-                end = pos + size
-        yield batch.filter(pa.array(keep, pa.bool_()))
+    return candidates(text_hits(docs, lexicon, None, max_n, pattern), languages)
 
 
 def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:
     """Leftmost-longest choice among overlapping candidate spans, per document and model.
 
     Scanning left to right, a span is kept when it starts at or after the end of the last kept span; among spans
-    with one start the longest wins, then the lowest lemma and type. One shuffle of the lexicon hits by document and
-    one sort; the scan streams over the sorted rows and holds nothing but the last end, so neither a long document nor
-    a long chain of overlapping spans needs memory. ``max_n`` (the longest entry) is not needed for it.
+    with one start the longest wins, then the lowest lemma and type. ``max_n``: length of the longest span.
+
+    A document is cut into blocks of ``BLOCK`` positions, each a group of its own, so a long document spreads over tasks.
+    The scan of a block depends on the ones before it only by how far the last kept span reaches into it, less than
+    ``max_n`` positions. Blocks with a span that sticks out (few) tell that for every reach they may meet themselves, and
+    one small fold per document strings these answers together. Column expressions only.
     """
-    ship_package(candidates.sparkSession)
-    columns = [*KEY, "pos", "len", *[c for c in candidates.columns if c not in (*KEY, "pos", "len")]]
-    ordered = candidates.select(*columns).repartition(*KEY).sortWithinPartitions(*KEY, "pos", F.desc("len"), "lemma", "entity_type")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema)
-    return ordered.mapInArrow(_leftmost_longest, schema).select(*candidates.columns)
+    size, reach = max(BLOCK, max_n), max(1, max_n)
+    rest = [c for c in candidates.columns if c not in (*KEY, "pos", "len", "lemma", "entity_type")]
+    span = F.struct("pos", (-F.col("len")).alias("back"), "lemma", "entity_type", *rest)
+    block = F.floor(F.col("pos") / size).cast("int").alias("block")
+    blocks = candidates.groupBy(*KEY, block).agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    spans, start = F.col("spans"), F.col("block") * F.lit(size)
+    edge = start + size
+
+    def end(s: Column) -> Column:
+        return s["pos"] - s["back"]
+
+    def last_end(begin: Column) -> Column:
+        return F.aggregate(spans, begin, lambda e, s: F.when(s["pos"] >= e, end(s)).otherwise(e))
+
+    sticks_out = blocks.where(F.array_max(F.transform(spans, end)) > edge)
+    answers = F.transform(F.sequence(F.lit(0), F.lit(reach - 1)), lambda o: F.greatest(F.lit(0), last_end(start + o) - edge))
+    chain = sticks_out.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("block", answers.alias("answers")))).alias("chain"))
+    nothing = F.array().cast("array<struct<block:int,into:int>>")
+
+    def string(done: Column, x: Column) -> Column:
+        into = F.when(x["block"] == done["block"] + 1, done["into"]).otherwise(F.lit(0))
+        out = x["answers"][into]
+        return F.struct(x["block"].alias("block"), out.alias("into"), F.concat(done["all"], F.array(F.struct((x["block"] + 1).alias("block"), out.alias("into")))).alias("all"))
+
+    strung = F.aggregate("chain", F.struct(F.lit(-2).alias("block"), F.lit(0).alias("into"), nothing.alias("all")), string)["all"]
+    entered = chain.select(*KEY, F.explode(strung).alias("x")).select(*KEY, "x.block", "x.into").where(F.col("into") > 0)
+
+    kind = {f.name: f.dataType.simpleString() for f in candidates.schema}
+    names = ["pos", "back", "lemma", "entity_type", *rest]
+    none = F.array().cast("array<struct<" + ",".join(f"{c}:{kind['len' if c == 'back' else c]}" for c in names) + ">>")
+
+    def keep(done: Column, s: Column) -> Column:
+        kept = F.struct(end(s).alias("end"), F.concat(done["kept"], F.array(s)).alias("kept"))
+        return F.when(s["pos"] >= done["end"], kept).otherwise(done)
+
+    begin = start + F.coalesce("into", F.lit(0))
+    kept = F.aggregate(spans, F.struct(begin.alias("end"), none.alias("kept")), keep)["kept"]
+    out = blocks.join(entered, [*KEY, "block"], "left").select(*KEY, F.explode(kept).alias("s"))
+    return out.select(*[F.col(c) if c in KEY else (-F.col("s.back")).alias("len") if c == "len" else F.col(f"s.{c}") for c in candidates.columns])
 
 
 def keep_tags(mentions: DataFrame, tags: Sequence[str] = PLACE_TAGS) -> DataFrame:

@@ -14,28 +14,37 @@ THRESHOLD = 0.3
 DEFAULT_LANGUAGE = "de"
 
 
-def detect_languages(docs: DataFrame, profile: DataFrame) -> DataFrame:
-    """(doc_id, code, proportion, rank): share of each language among a document's profile-word hits.
+def count_profile_words(docs: DataFrame, profile: DataFrame) -> DataFrame:
+    """(doc_id, code, n): tokens of a document, in lower case, that the profile lists for a language.
 
-    Tokens are lower-case letter runs; each token counts once for every language whose profile lists it. Counting
-    happens per document partition (partial aggregate) before anything is shuffled, so a very long document
-    or a very common word does not skew the shuffle. Documents without a hit get no rows.
+    Counting happens per document partition (partial aggregate) before anything is shuffled, so a very long document
+    or a very common word does not skew the shuffle. ``scan.text_hits`` counts the same along with the lexicon hits.
     """
-    words = docs.select("doc_id", F.explode(tokens(F.lower(F.col("text")))).alias("word"))
-    hits = (
-        words.join(F.broadcast(profile.select("word", F.col("lang").alias("code")).distinct()), "word")
-        .groupBy("doc_id", "code")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    words = docs.select("doc_id", F.explode(tokens("text")).alias("token")).select("doc_id", F.lower("token").alias("word"))
+    listed = F.broadcast(profile.select("word", F.col("lang").alias("code")).distinct())
+    return words.join(listed, "word").groupBy("doc_id", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def proportions(counts: DataFrame) -> DataFrame:
+    """(doc_id, code, proportion, rank) from (doc_id, code, n): at most one row per profile language and document."""
     w = Window.partitionBy("doc_id")
     ranked = Window.partitionBy("doc_id").orderBy(F.desc("proportion"), F.asc("code"))
     return (
-        hits.withColumn("proportion", F.col("n") / F.sum("n").over(w))
+        counts.withColumn("proportion", F.col("n") / F.sum("n").over(w))
         .withColumn("rank", F.row_number().over(ranked))
         .select("doc_id", "code", "proportion", "rank")
     )
 
 
+def detect_languages(docs: DataFrame, profile: DataFrame) -> DataFrame:
+    """(doc_id, code, proportion, rank): share of each language among a document's profile-word hits.
+
+    Tokens are letter runs in lower case; each token counts once for every language whose profile lists it. Documents
+    without a hit get no rows.
+    """
+    return proportions(count_profile_words(docs, profile))
+
+
 def relevant_languages(
     docs: DataFrame,
     doc_language: DataFrame,

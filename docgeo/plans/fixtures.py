@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgeo.session import checkpoint_root
+from docgeo.sources.corpus import dealt_out
 
 CANDIDATE_PATTERN = r"\p{Lu}\p{Ll}{3,}"
 PAIR_PATTERN = r"^\p{Lu}\p{Ll}{3,} \p{Lu}\p{Ll}{3,}$"
@@ -216,7 +217,7 @@ class Fixtures:
         return read_table(self.spark, self.sf_dir, name)
 
     def documents(self) -> DataFrame:
-        return self.table("documents")
+        return dealt_out(self.table("documents"))
 
     def corpus(self) -> DataFrame:
         """The corpus in the workflow's document schema; ``file_name`` is absent, so ids are the doc_id text."""

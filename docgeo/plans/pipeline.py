@@ -23,8 +23,10 @@ from docgeo.operators import filters as FL
 from docgeo.operators import geocode as G
 from docgeo.operators import language as L
 from docgeo.operators import metadata as M
+from docgeo.operators import scan as S
 from docgeo.operators import whitelist as W
 from docgeo.plans.fixtures import DEFAULT_REMOVAL_RULES
+from docgeo.session import cut_lineage
 
 
 @dataclass
@@ -52,12 +54,26 @@ def languages(inp: Inputs) -> DataFrame:
     return L.relevant_languages(inp.docs, detected, supported, inp.threshold, inp.default_language)
 
 
-def mentions(inp: Inputs, max_n: int | None = None) -> DataFrame:
-    """Consolidated, tag-filtered, model-combined, cleaned mentions."""
+def candidates(inp: Inputs, max_n: int) -> DataFrame:
+    """Lexicon hits in each document's languages. The texts are scanned once, for both; what they hold is written down
+    (hits only), so that neither the choice of languages nor anything after it reads them again."""
+    if inp.profile is None:
+        return E.tag_entities(inp.docs, languages(inp), inp.lexicon, max_n)
+    hits = cut_lineage(S.text_hits(inp.docs, inp.lexicon, inp.profile, max_n))
+    detected = L.proportions(S.profile_counts(hits))
+    return S.candidates(hits, L.relevant_languages(inp.docs, detected, inp.lexicon.select("lang"), inp.threshold, inp.default_language))
+
+
+def consolidated(inp: Inputs, max_n: int | None = None) -> DataFrame:
+    """Leftmost-longest lexicon hits of every document and model."""
     if max_n is None:
         max_n = E.longest_entry(inp.lexicon)
-    cands = E.tag_entities(inp.docs, languages(inp), inp.lexicon, max_n)
-    return E.clean_names(E.combine_models(E.keep_tags(E.consolidate(cands, max_n), inp.tags)))
+    return E.consolidate(candidates(inp, max_n), max_n)
+
+
+def mentions(inp: Inputs, max_n: int | None = None) -> DataFrame:
+    """Consolidated, tag-filtered, model-combined, cleaned mentions."""
+    return E.clean_names(E.combine_models(E.keep_tags(consolidated(inp, max_n), inp.tags)))
 
 
 def doc_locations(inp: Inputs) -> DataFrame:

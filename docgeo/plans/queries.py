@@ -89,17 +89,14 @@ def q_given_language(spark, d):
 
 
 def q_consolidated_entities(spark, d):
-    inp = _inputs(Fixtures(spark, d))
-    n = E.longest_entry(inp.lexicon)
-    return E.consolidate(E.tag_entities(inp.docs, P.languages(inp), inp.lexicon, n), n)
+    return P.consolidated(_inputs(Fixtures(spark, d)))
 
 
 def q_combined_models(spark, d):
     fx = Fixtures(spark, d)
     docs = fx.bilingual_documents().withColumn("file_name", F.lit(None).cast("string"))
     inp = _inputs(fx, docs=docs, lexicon=fx.multilingual_lexicon())
-    n = E.longest_entry(inp.lexicon)
-    m = E.combine_models(E.keep_tags(E.consolidate(E.tag_entities(inp.docs, P.languages(inp), inp.lexicon, n), n)))
+    m = E.combine_models(E.keep_tags(P.consolidated(inp)))
     return m.select("doc_id", "model_rank", "pos", "len", "token", "lemma", "entity_type")
 
 

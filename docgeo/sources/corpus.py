@@ -50,6 +50,16 @@ def read_binary_files(
     return texts.select(_doc_id(F.col("path")).alias("doc_id"), file_id(F.col("path"), prefix).alias("file_name"), "text")
 
 
+def dealt_out(table: DataFrame) -> DataFrame:
+    """``table`` (a plain scan) as it is if it has a split for every core at least, else its rows dealt to as many tasks.
+
+    A file of one row group, or one compressed as a whole, is one split however large it is, and per-row work on texts
+    would run on one core. Tables of many splits, all large ones, are never shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def read_text_table(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", name_col: str | None = None) -> DataFrame:
     """A parquet table of texts in the corpus schema."""
     t = spark.read.parquet(path)
