@@ -54,10 +54,13 @@ def word_names(words: list[bytes]) -> np.ndarray:
 def window_symbols(names: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of all windows and the symbols that represent them. ``first``: the words that begin a text."""
     n = len(names)
-    ends = np.append(np.flatnonzero(first)[1:], n)
-    starts = np.flatnonzero(np.arange(n) + window <= np.repeat(ends, np.diff(np.append(np.flatnonzero(first), n))))
-    symbol, size = names, np.ones(n, dtype=np.int64)
-    low, high, live = starts, starts + window, np.arange(len(starts))
+    begin = np.flatnonzero(first)
+    sizes = np.diff(np.append(begin, n))
+    starts = np.flatnonzero(np.arange(n) + window <= np.repeat(begin + sizes, sizes)).astype(np.int32)
+    symbol, size = names, np.ones(n, dtype=np.int32)
+    low, high = starts, starts + np.int32(window)
+    # windows in a row with the same core go on as one: `group` numbers the cores, `live` those that are not yet represented
+    group, live = np.arange(len(starts), dtype=np.int32), np.arange(len(starts), dtype=np.int32)
     out = np.zeros(len(starts), dtype=np.uint64)
 
     def represent(which: np.ndarray) -> None:
@@ -73,9 +76,11 @@ def window_symbols(names: np.ndarray, first: np.ndarray, window: int) -> tuple[n
         """Go on with the symbols at ``heads``, named ``new``; cores shrink to [lower, upper) of the old ones."""
         nonlocal symbol, size, low, high, live, first
         left = lower < upper
-        represent(np.flatnonzero(~left))
-        number = np.cumsum(heads) - 1
-        low, high, live = number[lower[left]], number[upper[left] - 1] + 1, live[left]
+        if not left.all():
+            represent(np.flatnonzero(~left))
+            lower, upper, live = lower[left], upper[left], live[left]
+        number = np.cumsum(heads, dtype=np.int32) - 1
+        low, high = number[lower], number[upper - 1] + 1
         at = np.flatnonzero(heads)
         symbol, size, first = new, np.add.reduceat(size, at), first[at]
 
@@ -85,10 +90,12 @@ def window_symbols(names: np.ndarray, first: np.ndarray, window: int) -> tuple[n
         if r in RUNS_BEFORE:
             heads = first.copy()
             heads[1:] |= symbol[1:] != symbol[:-1]
-            at = np.flatnonzero(heads)
-            length = np.diff(np.append(at, len(symbol)))
-            number = np.cumsum(heads) - 1
-            new = np.where(length > 1, _pair(symbol[at], length.astype(np.uint64)), symbol[at])
+            at = np.flatnonzero(heads).astype(np.int32)
+            length = np.diff(np.append(at, np.int32(len(symbol))))
+            number = np.cumsum(heads, dtype=np.int32) - 1
+            new = symbol[at]
+            run = np.flatnonzero(length > 1)
+            new[run] = _pair(new[run], length[run].astype(np.uint64))
             # the first and the last run of a core may go on outside
             replace(heads, new, (at + length)[number[low]], at[number[high - 1]])
             if not len(live):
@@ -96,14 +103,22 @@ def window_symbols(names: np.ndarray, first: np.ndarray, window: int) -> tuple[n
         right = (_mix(symbol + np.uint64((r + 1) * int(_A) % (1 << 64))) >> np.uint64(63)).astype(bool)
         second = np.zeros(len(symbol), dtype=bool)
         second[1:] = right[1:] & ~right[:-1] & ~first[1:]
-        heads = ~second
-        at = np.flatnonzero(heads)
-        after = np.minimum(at + 1, len(symbol) - 1)
-        new = np.where(second[after] & (after > at), _pair(symbol[at], symbol[after]), symbol[at])
+        at = np.flatnonzero(~second)
+        new = symbol[at]
+        pair = np.flatnonzero(second[np.minimum(at + 1, len(symbol) - 1)] & (at + 1 < len(symbol)))
+        new[pair] = _pair(new[pair], symbol[at[pair] + 1])
         # a right symbol at the core's start and a left one at its end may pair with a neighbour outside
-        replace(heads, new, low + right[low], high - ~right[high - 1])
+        replace(~second, new, low + right[low], high - ~right[high - 1])
+        if r % 2 and len(live):
+            differs = np.ones(len(live), dtype=bool)
+            differs[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            if not differs.all():
+                of = np.arange(len(out), dtype=np.int32)
+                of[live] = live[differs][np.cumsum(differs) - 1]
+                group = of[group]
+                low, high, live = low[differs], high[differs], live[differs]
     represent(np.arange(len(live)))
-    return starts, out
+    return starts, out[group]
 
 
 def window_digests(column: np.ndarray, window: int) -> np.ndarray:
@@ -130,11 +145,9 @@ def _blocks(counts: list[int], window: int) -> Iterator[tuple[int, int]]:
         at += n
 
 
-def _compressed(texts: list[list[bytes]], window: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, place of the block in it, starts in the block, symbols, names of the block's words) for each text and block.
-
-    Short texts are compressed together.
-    """
+def _compressed(texts: list[list[bytes]], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """All windows of the texts, a bounded number of words at a time (short texts together, long ones in blocks):
+    text, start in the text, symbol and place in the names of the words, which come last."""
     counts = [len(t) for t in texts]
     names = word_names([w for t in texts for w in t])
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
@@ -145,18 +158,16 @@ def _compressed(texts: list[list[bytes]], window: int) -> Iterator[tuple[int, in
         while upto < len(cuts) and (upto == at or size + cuts[upto][1] - cuts[upto][0] <= BLOCK_WORDS + window):
             size += cuts[upto][1] - cuts[upto][0]
             upto += 1
-        group = cuts[at:upto]
+        blocks = np.array(cuts[at:upto], dtype=np.int64)
         at = upto
-        joined = np.concatenate([names[s:e] for s, e in group])
-        begin = np.concatenate([[0], np.cumsum([e - s for s, e in group])])
+        joined = np.concatenate([names[s:e] for s, e in blocks])
+        begin = np.concatenate([[0], np.cumsum(blocks[:, 1] - blocks[:, 0])])
         first = np.zeros(len(joined), dtype=bool)
         first[begin[:-1]] = True
         starts, symbols = window_symbols(np.ascontiguousarray(joined[:, 0]), first, window)
-        edges = np.searchsorted(starts, begin)
-        for i, (s, e) in enumerate(group):
-            text = int(np.searchsorted(offsets, s, side="right")) - 1
-            part = slice(edges[i], edges[i + 1])
-            yield text, s - int(offsets[text]), starts[part] - begin[i], symbols[part], names[s:e]
+        of = np.repeat(np.arange(len(blocks)), np.diff(np.searchsorted(starts, begin)))
+        text = np.searchsorted(offsets, blocks[:, 0], side="right") - 1
+        yield text[of], starts + (blocks[:, 0] - begin[:-1] - offsets[text])[of], symbols, starts, joined
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -171,8 +182,13 @@ def _survey(window: int):
             for part in slices(batch, "text"):
                 texts = [_words(t) for t in part.column(2).to_pylist()]
                 found: list[list[np.ndarray]] = [[] for _ in texts]
-                for text, _, _, symbols, _ in _compressed(texts, window):
-                    found[text].append(symbols)
+                for text, _, symbols, _, _ in _compressed(texts, window):
+                    new = np.ones(len(text), dtype=bool)
+                    new[1:] = (text[1:] != text[:-1]) | (symbols[1:] != symbols[:-1])
+                    text, symbols = text[new], symbols[new]
+                    edges = np.flatnonzero(np.diff(text, prepend=-1))
+                    for i, part_of in zip(text[edges].tolist(), np.split(symbols, edges[1:]), strict=True):
+                        found[i].append(part_of)
                 symbols = [np.unique(np.concatenate(f)).view(np.int64) if f else np.zeros(0, dtype=np.int64) for f in found]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in symbols])]).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *symbols])))
@@ -192,13 +208,14 @@ def _candidates(window: int):
             for part in slices(batch, "text"):
                 doc, body = (part.column(i).to_numpy() for i in (0, 1))
                 shared = part.column(3)
-                for text, place, starts, symbols, names in _compressed([_words(t) for t in part.column(2).to_pylist()], window):
-                    wanted = shared[text].values.to_numpy().view(np.uint64)
-                    starts = starts[np.isin(symbols, wanted)]
-                    digests = [window_digests(np.ascontiguousarray(names[:, c]), window)[starts].view(np.int64) for c in (0, 1)]
-                    n = len(starts)
-                    columns = [*digests, np.full(n, doc[text]), np.full(n, body[text]), (starts + place).astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "doc", "body", "start"])
+                of = np.repeat(np.arange(len(shared)), shared.value_lengths().to_numpy())
+                wanted = _pair(shared.flatten().to_numpy().view(np.uint64), of.astype(np.uint64))
+                for text, start, symbols, at, names in _compressed([_words(t) for t in part.column(2).to_pylist()], window):
+                    # a symbol and its text as one number: one that is taken for another is only a candidate more
+                    take = np.isin(_pair(symbols, text.astype(np.uint64)), wanted)
+                    digests = [window_digests(np.ascontiguousarray(names[:, c]), window)[at[take]].view(np.int64) for c in (0, 1)]
+                    columns = [*digests, doc[text[take]], body[text[take]], start[take]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "doc", "body", "start"])
 
     return run
 

@@ -68,8 +68,8 @@ def test_long_texts_in_blocks(spark, texts, monkeypatch):
     found = []
     for part in (rows[:30], rows[30:]):
         listed = [substrings._words(t) for _, t in part]
-        for text, place, starts, symbols, _ in substrings._compressed(listed, 10):
-            found += [(tuple(listed[text][place + s : place + s + 10]), x) for s, x in zip(starts.tolist(), symbols.tolist())]
+        for text, start, symbols, _, _ in substrings._compressed(listed, 10):
+            found += [(tuple(listed[t][s : s + 10]), x) for t, s, x in zip(text.tolist(), start.tolist(), symbols.tolist())]
     assert len(found) == sum(max(0, len(substrings._words(t)) - 9) for _, t in rows)
     assert len(set(found)) == len({w for w, _ in found})  # equal windows, equal symbols, whatever stands around them
 
