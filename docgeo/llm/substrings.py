@@ -274,7 +274,8 @@ def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
     own = written(own, "substrings-symbols")
     shared = own.groupBy("symbol").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter(F.col("low") != F.col("high")).select("symbol")
     texts = own.join(written(shared, "substrings-shared"), "symbol").groupBy("doc", "body").agg(F.collect_set("symbol").alias("shared"))
-    found = rows.join(written(texts, "substrings-texts"), ["doc", "body"])
+    # joined by merge at every size: with a broadcast of what is small the texts would be shuffled by large inputs only
+    found = rows.join(written(texts, "substrings-texts").hint("merge"), ["doc", "body"])
     windows = written(map_arrow(found.select("doc", "body", "text", "shared"), _candidates(window), "a long, b long, doc long, body long, start long"), "substrings-windows")
     earliest = windows.groupBy("a", "b").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter(F.col("low") != F.col("high")).select("a", "b", "low")
     gone = windows.join(earliest, ["a", "b"]).filter(F.col("doc") > F.col("low")).groupBy("doc", "body").agg(F.collect_set("start").alias("starts"))
@@ -297,5 +298,5 @@ def without_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text
     """
     rows = docs.select(docs[key].cast("long").alias("doc"), F.xxhash64(docs[text].cast("string")).alias("body"), docs[text].cast("string").alias("text"))
     spans = written(repeated_spans(rows.filter(F.col("doc").isNotNull() & F.col("text").isNotNull()), window), "substrings-spans")
-    joined = rows.join(spans, ["doc", "body"], "left").select(F.col("doc").alias(key), "text", "spans")
+    joined = rows.join(spans.hint("merge"), ["doc", "body"], "left").select(F.col("doc").alias(key), "text", "spans")
     return map_arrow(joined, _kept(key), f"{key} long, n_words long, n_removed long, kept string, spans {SPANS}")
