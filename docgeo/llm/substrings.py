@@ -278,6 +278,7 @@ def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
     found = rows.join(written(texts, "substrings-texts").hint("merge"), ["doc", "body"])
     windows = written(map_arrow(found.select("doc", "body", "text", "shared"), _candidates(window), "a long, b long, doc long, body long, start long"), "substrings-windows")
     earliest = windows.groupBy("a", "b").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter(F.col("low") != F.col("high")).select("a", "b", "low")
+    earliest = written(earliest, "substrings-earliest")  # not in the join's own stage, which AQE could not split then
     gone = windows.join(earliest, ["a", "b"]).filter(F.col("doc") > F.col("low")).groupBy("doc", "body").agg(F.collect_set("start").alias("starts"))
     spans = map_arrow(gone.select("doc", "body", "starts"), _covered(window), f"doc long, body long, spans {SPANS}")
     later = survey.join(first, seq).filter(F.col("doc") > F.col("of")).dropDuplicates(["doc", "body"])
