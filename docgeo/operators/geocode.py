@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docgeo.functions.text import strip_braces
-from docgeo.schemas import DOC_GEO_COLUMNS, LOCATION_CACHE_COLUMNS, LOCATION_CACHE_SCHEMA
+from docgeo.schemas import DOC_GEO_COLUMNS, LOCATION_CACHE_COLUMNS, LOCATION_CACHE_SCHEMA, PLACE_COLUMNS
 from docgeo.session import cut_lineage, ship_package
 
 
@@ -109,12 +110,14 @@ def update_cache(cache: DataFrame, resolved: DataFrame) -> DataFrame:
     return one_per_query(cache.select(*LOCATION_CACHE_COLUMNS).unionByName(resolved.select(*LOCATION_CACHE_COLUMNS)).distinct())
 
 
-def attach_coordinates(doc_location: DataFrame, cache: DataFrame) -> DataFrame:
+def attach_coordinates(doc_location: DataFrame, cache: DataFrame, unique: bool = False) -> DataFrame:
     """doc_geo (doc_id, query, frequency, lat, lon, class, type, importance): inner join of names and cache;
-    names without a cache row drop out (see ``unresolved_names``). Catalyst broadcasts the cache side if its
+    names without a cache row drop out (see ``unresolved_names``). ``unique``: the cache has one row per name, else the best
+    one is taken. Country and continent come along if the cache has them. Catalyst broadcasts the cache side if its
     bytes allow; otherwise a shuffle join with AQE skew splitting handles names that many documents share."""
-    c = one_per_query(cache).select("query", "lat", "lon", "class", "type", "importance")
-    return doc_location.join(c, doc_location["location"] == c["query"]).select(*DOC_GEO_COLUMNS)
+    places = [c for c in PLACE_COLUMNS if c in cache.columns]
+    c = (cache if unique else one_per_query(cache)).select("query", "lat", "lon", "class", "type", "importance", *places)
+    return doc_location.join(c, doc_location["location"] == c["query"]).select(*DOC_GEO_COLUMNS, *places)
 
 
 def unresolved_names(doc_location: DataFrame, cache: DataFrame) -> DataFrame:
@@ -124,14 +127,24 @@ def unresolved_names(doc_location: DataFrame, cache: DataFrame) -> DataFrame:
     )
 
 
-def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | None = None, resolver=None):
-    """Whole geocoding step. Returns (doc_geo, new_cache, unresolved).
+@dataclass
+class Geocoded:
+    doc_geo: DataFrame  # documents' names with coordinates
+    new_cache: DataFrame  # the cache with the names that were resolved (not computed unless it is read)
+    unresolved: DataFrame  # (doc_id, location, frequency) without a cache row
+    resolved: DataFrame  # the new cache rows alone
 
-    Misses are collected over the whole corpus, resolved once, merged into the cache, and every document's names
-    are joined to the merged cache.
+    def __getitem__(self, i: int) -> DataFrame:
+        return (self.doc_geo, self.new_cache, self.unresolved, self.resolved)[i]
+
+
+def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | None = None, resolver=None, place: Callable[[DataFrame], DataFrame] | None = None) -> Geocoded:
+    """Whole geocoding step.
+
+    Misses are collected over the whole corpus and resolved once. Only the cache rows of the corpus's own names are picked,
+    deduplicated and written down (with the new ones, marked); the rest of the cache is neither copied nor sorted. ``place``
+    adds country and continent to rows with coordinates: to the new ones, and to known ones if the cache lacks them.
     """
-    # names and the merged cache are written once (the cache is persisted by the workflow anyway): the size check
-    # of the cache and every later use read the written tables instead of re-running the extraction
     names = cut_lineage(strip_name_braces(doc_location))
     misses = cache_misses(names, cache)
     if resolver is not None:
@@ -139,6 +152,13 @@ def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | No
     elif gazetteer is not None:
         resolved = resolve_offline(misses, gazetteer)
     else:
-        resolved = cache.limit(0)
-    new_cache = cut_lineage(update_cache(cache, resolved))
-    return attach_coordinates(names, new_cache), new_cache, unresolved_names(names, new_cache)
+        resolved = cache.limit(0).select(*LOCATION_CACHE_COLUMNS)
+    known = all(c in cache.columns for c in PLACE_COLUMNS)
+    columns = [*LOCATION_CACHE_COLUMNS, *(PLACE_COLUMNS if known and place else [])]
+    hits = cache_hits(names, cache).select(*columns)
+    if place:
+        resolved, hits = place(resolved), hits if known else place(hits)
+    marked = hits.withColumn("_new", F.lit(False)).unionByName(resolved.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    used = cut_lineage(one_per_query(marked))
+    resolved = used.where("_new").drop("_new")
+    return Geocoded(attach_coordinates(names, used, unique=True), update_cache(cache, resolved), unresolved_names(names, used), resolved)

@@ -40,8 +40,9 @@ def _order(*extra: str):
     return F.struct(F.col(SEQ), F.col("doc_id"), *[F.col(c) for c in extra])
 
 
-def condense(whitelist: DataFrame, mode: str = "name") -> DataFrame:
-    """Condensed whitelist with the whitelist's 11 columns.
+def condense(whitelist: DataFrame, mode: str = "name", averages: DataFrame | None = None) -> DataFrame:
+    """Condensed whitelist with the whitelist's 11 columns. ``averages``: the mean confidence of each location (location,
+    confidence) or of each point (lat, lon, confidence), if it is kept up elsewhere; else it is taken from the rows.
 
     ``name``: one row per (id, location): frequency summed, importance averaged (NULL if any is NULL), lat, lon,
     class, type, country, continent from the first row; confidence = mean over all rows of that location.
@@ -58,7 +59,7 @@ def condense(whitelist: DataFrame, mode: str = "name") -> DataFrame:
         keys = ["id", "location"]
         wl = wl.where(F.col("id").isNotNull() & F.col("location").isNotNull())
         order = _order("location")
-        conf = wl.groupBy("location").agg(avg_strict("confidence").alias("confidence"))
+        conf = averages if averages is not None else wl.groupBy("location").agg(avg_strict("confidence").alias("confidence"))
         main = wl.groupBy(*keys).agg(
             F.sum("frequency").alias("frequency"),
             first_by("lat", order).alias("lat"),
@@ -74,7 +75,7 @@ def condense(whitelist: DataFrame, mode: str = "name") -> DataFrame:
         keys = ["id", "lat", "lon"]
         wl = wl.where(F.col("id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
         order = _order("location")
-        conf = wl.groupBy("lat", "lon").agg(avg_strict("confidence").alias("confidence"))
+        conf = averages if averages is not None else wl.groupBy("lat", "lon").agg(avg_strict("confidence").alias("confidence"))
         main = wl.groupBy(*keys).agg(
             F.mode("location", deterministic=True).alias("location"),
             F.sum("frequency").alias("frequency"),

@@ -11,7 +11,7 @@ confidence (a blacklisted name still pulls the centroid).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,32 +43,44 @@ class Inputs:
     default_language: str = L.DEFAULT_LANGUAGE
     tags: Sequence[str] = E.PLACE_TAGS
     resolver: object = None
+    prefix: str | None = None  # directory that file names are relative to
+    hits: DataFrame | None = None  # what a scan of the texts found (see ``scanned``)
 
 
 def languages(inp: Inputs) -> DataFrame:
     """(doc_id, code, model_rank) per document: detected mixed languages, or the given ``lang`` column."""
     if inp.profile is None:
         return L.given_language(inp.docs)
-    detected = L.detect_languages(inp.docs, inp.profile)
     supported = inp.lexicon.select("lang")
-    return L.relevant_languages(inp.docs, detected, supported, inp.threshold, inp.default_language)
+    return L.relevant_languages(inp.docs, detected(inp), supported, inp.threshold, inp.default_language)
 
 
-def candidates(inp: Inputs, max_n: int) -> DataFrame:
-    """Lexicon hits in each document's languages. The texts are scanned once, for both; what they hold is written down
-    (hits only), so that neither the choice of languages nor anything after it reads them again."""
+def scanned(inp: Inputs) -> Inputs:
+    """The inputs with what a single scan of the texts finds, languages and names, written down (hits only): neither the
+    choice of languages nor anything after it reads the texts again."""
+    if inp.hits is not None:
+        return inp
+    return replace(inp, hits=cut_lineage(S.text_hits(inp.docs, inp.lexicon, inp.profile)))
+
+
+def detected(inp: Inputs) -> DataFrame:
+    """(doc_id, code, proportion, rank) of every document; its own ``lang`` alone if there is no profile."""
     if inp.profile is None:
-        return E.tag_entities(inp.docs, languages(inp), inp.lexicon, max_n)
-    hits = cut_lineage(S.text_hits(inp.docs, inp.lexicon, inp.profile, max_n))
-    detected = L.proportions(S.profile_counts(hits))
-    return S.candidates(hits, L.relevant_languages(inp.docs, detected, inp.lexicon.select("lang"), inp.threshold, inp.default_language))
+        return L.given_language(inp.docs).select("doc_id", "code", F.lit(1.0).alias("proportion"), F.col("model_rank").alias("rank"))
+    return L.proportions(S.profile_counts(inp.hits)) if inp.hits is not None else L.detect_languages(inp.docs, inp.profile)
+
+
+def candidates(inp: Inputs) -> DataFrame:
+    """Lexicon hits in each document's languages."""
+    inp = scanned(inp)
+    return S.candidates(inp.hits, languages(inp))
 
 
 def consolidated(inp: Inputs, max_n: int | None = None) -> DataFrame:
     """Leftmost-longest lexicon hits of every document and model."""
     if max_n is None:
         max_n = E.longest_entry(inp.lexicon)
-    return E.consolidate(candidates(inp, max_n), max_n)
+    return E.consolidate(candidates(inp), max_n)
 
 
 def mentions(inp: Inputs, max_n: int | None = None) -> DataFrame:
@@ -80,31 +92,35 @@ def doc_locations(inp: Inputs) -> DataFrame:
     return E.name_frequencies(mentions(inp))
 
 
-def geocoded(inp: Inputs):
-    """(doc_geo, new_cache, unresolved)."""
-    return G.geocode(doc_locations(inp), inp.cache, inp.gazetteer, inp.resolver)
+def geocoded(inp: Inputs, locate: bool = False) -> G.Geocoded:
+    """Names with coordinates, the new cache, what is unresolved, and the new cache rows; with ``locate`` also country and
+    continent, once per name (known names of a located cache need no lookup)."""
+    place = (lambda rows: N.enrich(rows, inp.boundaries)) if locate and inp.boundaries is not None else None
+    return G.geocode(doc_locations(inp), inp.cache, inp.gazetteer, inp.resolver, place)
 
 
-def scored(inp: Inputs) -> DataFrame:
+def scored(inp: Inputs, geo: G.Geocoded | None = None) -> DataFrame:
     """doc_geo after the class/type filter, with centroid, distance and confidence."""
-    doc_geo = FL.remove_classes(geocoded(inp)[0], inp.rules)
+    doc_geo = FL.remove_classes((geo or geocoded(inp)).doc_geo, inp.rules)
     return C.cluster_confidence(doc_geo)
 
 
-def enriched(inp: Inputs) -> DataFrame:
+def enriched(inp: Inputs, geo: G.Geocoded | None = None) -> DataFrame:
     """Scored doc_geo after the blacklist, with file name, country and continent."""
-    doc_geo = scored(inp)
+    doc_geo = scored(inp, geo or geocoded(inp, locate=True))
     if inp.blacklist is not None:
         doc_geo = FL.remove_blacklisted(doc_geo, inp.blacklist)
     if "file_name" in inp.docs.columns:
-        doc_geo = N.attach_file_names(doc_geo, inp.docs)
+        doc_geo = N.attach_file_names(doc_geo, inp.docs, inp.prefix)
+    if "country" in doc_geo.columns:
+        return doc_geo
     if inp.boundaries is not None:
         return N.enrich(doc_geo, inp.boundaries)
     return doc_geo.withColumn("country", F.lit(None).cast("string")).withColumn("continent", F.lit(None).cast("string"))
 
 
-def whitelist_ledger(inp: Inputs, seq: int = 0) -> DataFrame:
-    return W.build_whitelist(enriched(inp), seq)
+def whitelist_ledger(inp: Inputs, seq: int = 0, geo: G.Geocoded | None = None) -> DataFrame:
+    return W.build_whitelist(enriched(inp, geo), seq)
 
 
 def run_whitelist(inp: Inputs, mode: str = "name", earlier: DataFrame | None = None) -> DataFrame:

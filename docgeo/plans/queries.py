@@ -135,15 +135,15 @@ def q_resolved_names(spark, d):
 
 
 def q_updated_cache(spark, d):
-    return P.geocoded(_inputs(Fixtures(spark, d)))[1]
+    return P.geocoded(_inputs(Fixtures(spark, d))).new_cache
 
 
 def q_doc_coordinates(spark, d):
-    return P.geocoded(_inputs(Fixtures(spark, d)))[0]
+    return P.geocoded(_inputs(Fixtures(spark, d))).doc_geo
 
 
 def q_unresolved_names(spark, d):
-    return P.geocoded(_inputs(Fixtures(spark, d)))[2]
+    return P.geocoded(_inputs(Fixtures(spark, d))).unresolved
 
 
 # ---------------------------------------------------------------- class/type filter
@@ -151,13 +151,13 @@ def q_unresolved_names(spark, d):
 
 def q_class_type_filter(spark, d):
     inp = _inputs(Fixtures(spark, d))
-    return FL.remove_classes(P.geocoded(inp)[0], list(DEFAULT_REMOVAL_RULES))
+    return FL.remove_classes(P.geocoded(inp).doc_geo, list(DEFAULT_REMOVAL_RULES))
 
 
 def q_class_type_filter_custom(spark, d):
     fx = Fixtures(spark, d)
     inp = _inputs(fx)
-    return FL.remove_classes(P.geocoded(inp)[0], fx.removal_rules(custom=True))
+    return FL.remove_classes(P.geocoded(inp).doc_geo, fx.removal_rules(custom=True))
 
 
 # ---------------------------------------------------------------- confidence
@@ -165,7 +165,7 @@ def q_class_type_filter_custom(spark, d):
 
 def q_centroid_distance(spark, d):
     inp = _inputs(Fixtures(spark, d))
-    g = FL.remove_classes(P.geocoded(inp)[0], inp.rules)
+    g = FL.remove_classes(P.geocoded(inp).doc_geo, inp.rules)
     return C.centroid_distance(g).select(*g.columns, r6("c_lat"), r6("c_lon"), "distance_km")
 
 
@@ -185,7 +185,7 @@ def q_blacklist_filter(spark, d):
 
 def q_blacklist_report(spark, d):
     inp = _inputs(Fixtures(spark, d))
-    return FL.blacklist_report(FL.remove_classes(P.geocoded(inp)[0], inp.rules), inp.blacklist, inp.docs)
+    return FL.blacklist_report(FL.remove_classes(P.geocoded(inp).doc_geo, inp.rules), inp.blacklist, inp.docs)
 
 
 # ---------------------------------------------------------------- enrichment
@@ -257,7 +257,7 @@ def q_all_grades(spark, d):
 
 
 def q_coordinates_of_document(spark, d):
-    return P.coordinates_of(P.geocoded(_inputs(Fixtures(spark, d)))[0], SHOWN_DOCUMENT)
+    return P.coordinates_of(P.geocoded(_inputs(Fixtures(spark, d))).doc_geo, SHOWN_DOCUMENT)
 
 
 def q_languages_of_document(spark, d):

@@ -46,6 +46,10 @@ LOCATION_CACHE_SCHEMA = T.StructType(
 )
 LOCATION_CACHE_COLUMNS = [f.name for f in LOCATION_CACHE_SCHEMA.fields]
 
+# What a cache may hold besides: where a place lies, looked up once per name.
+PLACE_COLUMNS = ["country", "continent"]
+LOCATED_CACHE_SCHEMA = T.StructType([*LOCATION_CACHE_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in PLACE_COLUMNS]])
+
 DOC_GEO_COLUMNS = ["doc_id", "query", "frequency", "lat", "lon", "class", "type", "importance"]
 
 BLACKLIST_SCHEMA = T.StructType(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgeo.schemas import BLACKLIST_SCHEMA, LOCATION_CACHE_COLUMNS, LOCATION_CACHE_SCHEMA, WHITELIST_SCHEMA
+from docgeo.sources.location_log import LocationLog
+from docgeo.sources.logtable import listed
 
 CURRENT = "_CURRENT"
 
@@ -19,15 +20,7 @@ CSV = {"header": True, "quote": '"', "escape": '"'}
 
 def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
     """Numbers of the version directories under ``root``, and whether each was written completely."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return {}
-    found = {}
-    for status in fs.listStatus(path):
-        if re.fullmatch(r"v-\d+", name := status.getPath().getName()):
-            found[int(name[2:])] = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-    return found
+    return listed(spark, root, r"v-(\d+)")
 
 
 def _current(spark: SparkSession, root: str) -> str | None:
@@ -43,7 +36,10 @@ def _current(spark: SparkSession, root: str) -> str | None:
 
 
 def open_location_cache(spark: SparkSession, root: str) -> DataFrame:
-    """The current cache version under ``root``, or an empty cache with the declared schema."""
+    """The cache under ``root``: the log of incremental runs, or the current version of saved snapshots, or an empty cache
+    with the declared schema."""
+    if listed(spark, f"{root.rstrip('/')}/manifests", r"m-(\d+)"):
+        return LocationLog(spark, root).read().select(*LOCATION_CACHE_COLUMNS)
     version = _current(spark, root)
     if version is None:
         return spark.createDataFrame([], LOCATION_CACHE_SCHEMA)
