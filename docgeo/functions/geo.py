@@ -1,4 +1,4 @@
-"""Geometry expressions: haversine distance, even-odd point in polygon, grid cells."""
+"""Geometry expressions: haversine distance, even-odd point in polygon."""
 
 from __future__ import annotations
 
@@ -20,24 +20,6 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.when(a.isNotNull(), F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a))))
 
 
-def ring_edges(rings: Column) -> Column:
-    """ARRAY<ARRAY<STRUCT<x,y>>> -> ARRAY<STRUCT<x1,y1,x2,y2>> of consecutive vertex pairs of every ring."""
-    return F.flatten(
-        F.transform(
-            rings,
-            lambda ring: F.transform(
-                F.sequence(F.lit(1), F.greatest(F.size(ring) - 1, F.lit(1))),
-                lambda i: F.struct(
-                    ring[i - 1]["x"].alias("x1"),
-                    ring[i - 1]["y"].alias("y1"),
-                    ring[i]["x"].alias("x2"),
-                    ring[i]["y"].alias("y2"),
-                ),
-            ),
-        )
-    )
-
-
 def crossings(edges: Column, lon: Column, lat: Column) -> Column:
     """Number of polygon edges a ray from (lon, lat) towards +x crosses; odd means inside (holes included)."""
 
@@ -48,20 +30,3 @@ def crossings(edges: Column, lon: Column, lat: Column) -> Column:
         return acc + F.when(hit, 1).otherwise(0)
 
     return F.aggregate(F.filter(edges, lambda e: e.isNotNull()), F.lit(0), step)
-
-
-def cell_of(v: Column, size: float) -> Column:
-    return F.floor(v / F.lit(size)).cast("int")
-
-
-def bbox_cells(xmin: Column, xmax: Column, ymin: Column, ymax: Column, size: float) -> Column:
-    """ARRAY<STRUCT<cx,cy>> of all grid cells a bounding box touches."""
-    return F.flatten(
-        F.transform(
-            F.sequence(cell_of(xmin, size), cell_of(xmax, size)),
-            lambda cx: F.transform(
-                F.sequence(cell_of(ymin, size), cell_of(ymax, size)),
-                lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")),
-            ),
-        )
-    )
