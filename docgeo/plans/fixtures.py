@@ -45,6 +45,9 @@ DEFAULT_REMOVAL_RULES = [
 ]
 CUSTOM_REMOVAL_RULES = [("all", "river"), ("place", "city")]
 
+# Folder that the paths of the fixture's documents start with.
+IMPORT_DIR = "/data/files_to_be_imported"
+
 # Hexagon offsets of the fixture country polygons (closed ring).
 HEXAGON = [(0, 0), (50, 3), (66, 12), (40, 23), (12, 20), (3, 11), (0, 0)]
 
@@ -223,6 +226,11 @@ class Fixtures:
         """The corpus in the workflow's document schema; ``file_name`` is absent, so ids are the doc_id text."""
         return self.documents().select("doc_id", "lang", "text", F.lit(None).cast("string").alias("file_name"))
 
+    def filed_corpus(self) -> DataFrame:
+        """The corpus with a path for each document, as a folder reader gives them: source as directory."""
+        path = F.concat(F.lit(f"{IMPORT_DIR}/"), F.col("source"), F.lit("/report "), F.col("doc_id").cast("string"), F.lit(".txt"))
+        return self.documents().select("doc_id", "lang", "text", path.alias("file_name"))
+
     def lexicon(self) -> DataFrame:
         return _materialize(self.spark, self.sf_dir, "lexicon", lambda: _lexicon(self.documents()))
 

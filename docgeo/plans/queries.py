@@ -21,7 +21,7 @@ from docgeo.operators import language as L
 from docgeo.operators import metadata as M
 from docgeo.operators import whitelist as W
 from docgeo.plans import pipeline as P
-from docgeo.plans.fixtures import DEFAULT_REMOVAL_RULES, Fixtures
+from docgeo.plans.fixtures import DEFAULT_REMOVAL_RULES, IMPORT_DIR, Fixtures
 
 # Custom metadata fields for the user-extension path (patterns that occur in the driver's raw texts).
 CUSTOM_PATTERNS = {
@@ -197,7 +197,8 @@ def q_point_country(spark, d):
 
 
 def q_enriched_locations(spark, d):
-    e = P.enriched(_inputs(Fixtures(spark, d)))
+    fx = Fixtures(spark, d)
+    e = P.enriched(_inputs(fx, docs=fx.filed_corpus(), prefix=IMPORT_DIR))
     return e.select(
         "doc_id", "query", "frequency", "lat", "lon", "class", "type", "importance", "confidence", "country",
         "continent", "file_name",

@@ -289,6 +289,7 @@ def build() -> dict[str, str]:
     main = FIXTURES + "," + pipeline("", "documents")
     hi = FIXTURES + "," + pipeline("", "documents", threshold="0.5e0")
     cust = FIXTURES + "," + pipeline("", "documents", rules="custom")
+    filed = FIXTURES + "," + pipeline("", "documents", file_name="fsrc.source || '/report ' || fsrc.doc_id || '.txt'")
     bil = FIXTURES + "," + pipeline("", "bilingual_docs", lex="lexicon_multi")
     appended = (
         FIXTURES + "," + pipeline("", "documents") + "," + pipeline("c_", "conv_docs", file_name="fsrc.file_name")
@@ -335,7 +336,7 @@ def build() -> dict[str, str]:
                 GROUP BY lat, lon)""",
             """SELECT g.lat, g.lon, p.country, p.continent FROM gpts g LEFT JOIN ginside i ON i.lat = g.lat AND i.lon = g.lon
             LEFT JOIN poly p ON p.poly_id = i.poly_id"""),
-        "enriched_locations": _q(main, f"SELECT {geo8}, confidence, country, continent, file_name FROM enriched"),
+        "enriched_locations": _q(filed, f"SELECT {geo8}, confidence, country, continent, file_name FROM enriched"),
         "whitelist_full": _q(main, f"SELECT {WHITELIST_COLS} FROM ledger"),
         "whitelist_by_name": _q(main, by_name(led)),
         "whitelist_by_coords": _q(main, by_coords(led)),
