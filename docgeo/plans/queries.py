@@ -22,6 +22,8 @@ from docgeo.operators import metadata as M
 from docgeo.operators import whitelist as W
 from docgeo.plans import pipeline as P
 from docgeo.plans.fixtures import DEFAULT_REMOVAL_RULES, IMPORT_DIR, Fixtures
+from docgeo.session import new_table_path
+from docgeo.streaming.state import CorpusState
 
 # Custom metadata fields for the user-extension path (patterns that occur in the driver's raw texts).
 CUSTOM_PATTERNS = {
@@ -257,12 +259,27 @@ def q_all_grades(spark, d):
     return P.field_of_all(M.extract_metadata(Fixtures(spark, d).report_documents()), "grade")
 
 
+_STATES: dict[tuple[str, str], str] = {}
+
+
+def _results(spark, d) -> CorpusState:
+    """The workflow's results by document, as incremental runs keep them: written once per session and input folder."""
+    key = (spark.sparkContext.applicationId, d)
+    state = CorpusState(spark, _STATES.get(key) or new_table_path(spark, "results"))
+    if key not in _STATES:
+        inp = P.scanned(_inputs(Fixtures(spark, d)))
+        geo = P.geocoded(inp, locate=True)
+        state.upsert(inp.docs, P.whitelist_ledger(inp, geo=geo), geo.doc_geo, P.detected(inp))
+        _STATES[key] = state.log.root
+    return state
+
+
 def q_coordinates_of_document(spark, d):
-    return P.coordinates_of(P.geocoded(_inputs(Fixtures(spark, d))).doc_geo, SHOWN_DOCUMENT)
+    return _results(spark, d).of_document("coordinates", SHOWN_DOCUMENT)
 
 
 def q_languages_of_document(spark, d):
-    return P.languages_of(q_language_proportions(spark, d), SHOWN_DOCUMENT)
+    return _results(spark, d).of_document("languages", SHOWN_DOCUMENT).select("doc_id", "code", r6("proportion"), "rank")
 
 
 def q_metadata_of_document(spark, d):
