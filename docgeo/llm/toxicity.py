@@ -1,13 +1,15 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The terms are those whose presence in the labelled sample depends on the label (chi-squared test); their document
-frequencies are counted over all documents. Distinct example vectors are posted in blocks; each term keeps its largest
-weight per block, so a search bounds a block's best cosine and skips blocks that cannot hold a nearer example. Votes
-weighted by distance are calibrated on the examples, each judged without itself.
+All terms of a bounded sample of labelled documents (the examples) count, with their document frequencies over all
+documents. How much a term depends on the label only sets its weight: none is left out. Distinct example vectors lie in
+blocks of neighbours; each term has its largest weight in each block, so a search bounds a block's best cosine and skips
+blocks that cannot hold a nearer example. Texts are searched in batches. Votes weighted by distance are calibrated on the
+examples, each judged without itself.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -19,16 +21,18 @@ from pyspark.sql import functions as F
 from docgeo.llm.common import map_arrow, slices, uniform_hash, written
 
 # Labelled documents per class that the classifier is fitted on (expected number; a hash sample of all of them).
-EXAMPLES = 4000
-TERMS = 1024  # terms at most, the most significant ones
-LEAST_CHI2 = 30.0  # a term without any bond to the label exceeds this once in twenty million
-LEAST_DOCS = 5
+EXAMPLES = 1024
+
+# Weight of a term that tells nothing of the label, and the chi-squared value at which a term has half of the full weight.
+LEAST_WEIGHT = 0.02
+HALF_CHI2 = 20.0
 
 NEIGHBOURS = 25
 BLOCK = 64
+DENSE_SHARE = 1 / 32  # terms of more examples have a row of all examples' weights, others a list
+BATCH = 256
 PRIOR_VOTES = 1.0
 EVIDENCE = 3
-MEMO_VECTORS = 1 << 16
 
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -43,119 +47,172 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _presence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _example_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, toxic, terms, counts`` of rows ``key, toxic, text``."""
     for batch in batches:
         for part in slices(batch, "text"):
-            found, toxic = [], []
-            for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                new = set(terms(text))
-                found += new
-                toxic += [label] * len(new)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(toxic, pa.int32())], names=["term", "toxic"])
+            tf = [Counter(terms(t)) for t in part.column(2).to_pylist()]
+            found = [pa.array([list(c) for c in tf], pa.list_(pa.binary())), pa.array([list(c.values()) for c in tf], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *found], names=["key", "toxic", "terms", "counts"])
 
 
-def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of the batch that hold each term: at most TERMS rows."""
-    for batch in batches:
-        counts = np.bincount(np.asarray(batch.column(0).flatten(), dtype=np.int64))
+def _frequencies(vocabulary):
+    """``term, n, docs``: rows that hold each term of the vocabulary, one row per term and task; term -1 stands for all rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {t: i for i, t in enumerate(vocabulary.value)}
+        counts, docs = np.zeros(len(number), dtype=np.int64), 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                ids: list[int] = []
+                for text in part.column(0).to_pylist():
+                    ids += [number[t] for t in set(terms(text)) if t in number]
+                counts += np.bincount(np.array(ids, dtype=np.int64), minlength=len(counts))
+                docs += part.num_rows
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], docs))], names=["term", "n"])
 
+    return run
 
-def choose_terms(sample: DataFrame) -> list[bytes]:
-    """At most TERMS terms of ``sample`` (text, toxic) that depend on the label, the most significant first.
 
-    Copies of a text count once: they are one observation, however often it was copied.
-    """
-    sample = sample.dropDuplicates(["text", "toxic"])
-    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
+def label_weights(present: list[np.ndarray], labels: np.ndarray, n_terms: int) -> np.ndarray:
+    """For each term a weight from LEAST_WEIGHT up to about 1, by how much its presence depends on the label (chi-squared)."""
+    n1, n0 = float(labels.sum()), float(len(labels) - labels.sum())
     if not n1 or not n0:
-        return []
-    seen = map_arrow(sample.select("text", "toxic"), _presence, "term binary, toxic int").groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.count("*").alias("df"))
-    a, b = F.col("a"), F.col("df") - F.col("a")
+        return np.ones(n_terms)
+    none = [np.zeros(0, dtype=np.int64)]
+    a = np.bincount(np.concatenate(none + [p for p, y in zip(present, labels, strict=True) if y]), minlength=n_terms).astype(float)
+    b = np.bincount(np.concatenate(none + [p for p, y in zip(present, labels, strict=True) if not y]), minlength=n_terms).astype(float)
     apart = a * (n0 - b) - b * (n1 - a)
-    chi2 = apart * apart * (n1 + n0) / ((a + b) * (n1 + n0 - a - b) * n1 * n0)
-    listed = seen.filter((F.col("df") >= LEAST_DOCS) & (F.col("df") < n1 + n0)).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
-    return [bytes(r["term"]) for r in listed.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
+    chi2 = apart**2 * (n1 + n0) / np.maximum((a + b) * (n1 + n0 - a - b) * n1 * n0, 1e-9)
+    return LEAST_WEIGHT + chi2**2 / (chi2**2 + HALF_CHI2**2)
 
 
-def _vectors(vocabulary):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {t: i for i, t in enumerate(vocabulary.value)}
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids, counts = [], []
-                for text in part.column(1).to_pylist():
-                    tf: dict[int, int] = {}
-                    for i in map(number.get, terms(text)):
-                        if i is not None:
-                            tf[i] = tf.get(i, 0) + 1
-                    order = sorted(tf)
-                    ids.append(order)
-                    counts.append([tf[i] for i in order])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["key", "terms", "counts"])
+@dataclass
+class Vectors:
+    """Sparse vectors one after another: those of vector i are at ``ptr[i] : ptr[i + 1]``."""
 
-    return run
+    ptr: np.ndarray
+    ids: np.ndarray
+    weights: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.ptr) - 1
+
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), np.diff(self.ptr))
+
+    def part(self, start: int, end: int) -> Vectors:
+        a, b = self.ptr[start], self.ptr[end]
+        return Vectors(self.ptr[start : end + 1] - a, self.ids[a:b], self.weights[a:b])
+
+
+def weighed(term_weight: np.ndarray, ids: list[np.ndarray], counts: list[np.ndarray]) -> Vectors:
+    """Unit vectors of (1 + ln count) * the term's weight."""
+    ptr = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)
+    flat = np.concatenate([np.zeros(0, dtype=np.int64), *ids])
+    w = (1 + np.log(np.concatenate([np.ones(0), *counts]))) * term_weight[flat]
+    rows = np.repeat(np.arange(len(ids)), np.diff(ptr))
+    length = np.sqrt(np.bincount(rows, weights=w * w, minlength=len(ids)))
+    return Vectors(ptr, flat, w / np.maximum(length[rows], 1e-300))
+
+
+def _spread(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """start .. end - 1 for each pair, one after another."""
+    n = ends - starts
+    before = np.cumsum(n) - n
+    return np.arange(int(n.sum())) - np.repeat(before - starts, n)
+
+
+class _Postings:
+    """Per term a list of (place, weight)."""
+
+    def __init__(self, n_terms: int, term: np.ndarray, place: np.ndarray, weight: np.ndarray) -> None:
+        order = np.lexsort((place, term))
+        self.start = np.searchsorted(term[order], np.arange(n_terms + 1))
+        self.place, self.weight = place[order], weight[order]
+
+    def product(self, q: Vectors, places: int) -> np.ndarray:
+        """[vector, place]: sums of products of the weights."""
+        s, e = self.start[q.ids], self.start[q.ids + 1]
+        at = _spread(s, e)
+        cell = np.repeat(q.rows(), e - s) * places + self.place[at]
+        return np.bincount(cell, weights=self.weight[at] * np.repeat(q.weights, e - s), minlength=len(q) * places).reshape(len(q), places)
 
 
-@dataclass
 class BlockMaxIndex:
-    """Distinct example vectors (unit length) in order, posted by term; ``toxic`` and ``clean`` are the votes of each."""
-
-    idf: np.ndarray
-    of_term: list[np.ndarray]
-    weights: list[np.ndarray]
-    block_from: np.ndarray  # [term, block]: where the block's postings start in the term's list
-    block_max: np.ndarray  # [term, block]: the largest weight
-    toxic: np.ndarray
-    clean: np.ndarray
-    shown: np.ndarray  # key of one example of each vector
-    own: dict  # example key -> (position of its vector, toxic vote, clean vote)
-    blank: int | None = None  # position of the vector without terms
-    slope: float = 1.0
-    shift: float = 0.0
+    """Distinct example vectors (unit length) in order; ``toxic`` and ``clean`` are the votes of each."""
+
+    def __init__(self, term_weight: np.ndarray, vectors: Vectors, toxic: np.ndarray, clean: np.ndarray, shown: list, own: dict) -> None:
+        self.term_weight, self.vectors, self.toxic, self.clean, self.shown, self.own = term_weight, vectors, toxic, clean, shown, own
+        self.slope, self.shift = 1.0, 0.0
+        n, n_terms = len(vectors), len(term_weight)
+        self.blocks = -(-n // BLOCK)
+        rows = vectors.rows()
+        listed = np.bincount(vectors.ids, minlength=n_terms)
+        dense = np.flatnonzero(listed > max(BLOCK / 2, n * DENSE_SHARE))
+        self.dense_row = np.full(n_terms, -1, dtype=np.int64)
+        self.dense_row[dense] = np.arange(len(dense))
+        common = self.dense_row[vectors.ids] >= 0
+        self.full = np.zeros((len(dense), self.blocks * BLOCK))
+        self.full[self.dense_row[vectors.ids[common]], rows[common]] = vectors.weights[common]
+        self.full_max = self.full.reshape(len(dense), self.blocks, BLOCK).max(axis=2) if n else np.zeros((len(dense), 0))
+        term, place, weight = vectors.ids[~common], rows[~common], vectors.weights[~common]
+        self.rare = _Postings(n_terms, term, place, weight)
+        # the largest weight of each term in each block
+        key = term * max(1, self.blocks) + place // BLOCK
+        order = np.lexsort((-weight, key))
+        first = order[np.flatnonzero(np.diff(key[order], prepend=-1))]
+        self.rare_max = _Postings(n_terms, term[first], place[first] // BLOCK, weight[first])
+        empty = np.flatnonzero(np.diff(vectors.ptr) == 0)
+        self.blank = int(empty[0]) if len(empty) else None  # the vector without terms
 
     @property
     def base(self) -> float:
         total = self.toxic.sum() + self.clean.sum()
         return float(self.toxic.sum() / total) if total else 0.0
 
-    def weigh(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[ids]
-        length = np.sqrt((w * w).sum())
-        return w / length if length else w
-
-    def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k example vectors of the largest cosine, exactly, and the cosines; ties to the smaller position."""
-        n = len(self.toxic)
-        if not len(ids) or not n:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        bound = weights @ self.block_max[ids]
-        order = np.argsort(-bound, kind="stable")
-        best, score, at, step = np.zeros(0, dtype=np.int64), np.zeros(0), 0, 4
-        while at < len(order):
-            if bound[order[at]] <= 0 or (len(score) >= k and bound[order[at]] < score[k - 1] - 1e-12):
-                break  # no block that is left can hold a nearer one
-            postings, sums = [], []
-            for t, q in zip(ids.tolist(), weights.tolist(), strict=True):
-                start = self.block_from[t]
-                for b in order[at : at + step].tolist():
-                    s, e = start[b], start[b + 1]
-                    if s < e:
-                        postings.append(self.of_term[t][s:e])
-                        sums.append(self.weights[t][s:e] * q)
-            if postings:
-                found, where = np.unique(np.concatenate(postings), return_inverse=True)
-                total = np.bincount(where, weights=np.concatenate(sums))
-                best, score = np.concatenate([best, found]), np.concatenate([score, total])
-                keep = np.lexsort((best, -score))[:k]
-                best, score = best[keep], score[keep]
-            at, step = at + step, step * 2
-        return best, np.minimum(score, 1.0)
+    def nearest(self, q: Vectors, k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the k examples of the largest cosine above 0, exactly, and the cosines; ties to the smaller position."""
+        out = []
+        for start in range(0, len(q), BATCH):
+            out += self._nearest(q.part(start, min(len(q), start + BATCH)), k)
+        return out
+
+    def _nearest(self, q: Vectors, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        n = self.blocks * BLOCK
+        if not n:
+            return [(np.zeros(0, dtype=np.int64), np.zeros(0))] * len(q)
+        common = self.dense_row[q.ids] >= 0
+        queries = np.zeros((len(q), len(self.full)))
+        queries[q.rows()[common], self.dense_row[q.ids[common]]] = q.weights[common]
+        bound = queries @ self.full_max + self.rare_max.product(q, self.blocks)
+        rare = self.rare.product(q, n)
+        score = np.zeros((len(q), n))
+        done = np.zeros(bound.shape, dtype=bool)
+
+        def evaluate(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                at, block = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                score[at, block] = queries[at] @ self.full[:, block] + rare[at, block]
+            done[wanted] = True
+
+        # the most promising block first: no block whose bound is below the k-th cosine found there can hold a nearer one
+        leading = np.zeros(bound.shape, dtype=bool)
+        leading[np.arange(len(q)), bound.argmax(axis=1)] = True
+        evaluate(leading & (bound > 0))
+        kth = np.partition(score, n - k, axis=1)[:, n - k] if n > k else np.zeros(len(q))
+        evaluate(~done & (bound > 0) & (bound >= kth[:, None] - 1e-12))
+        score = np.minimum(score, 1.0)
+        order = np.argsort(-score, axis=1, kind="stable")[:, :k]
+        best = np.take_along_axis(score, order, axis=1)
+        return [(o[s > 0], s[s > 0]) for o, s in zip(order, best, strict=True)]
 
     def vote(self, best: np.ndarray, score: np.ndarray, own: tuple | None = None) -> float:
-        """Share of toxic votes, weighted by closeness, smoothed by the share among all examples; without the row's own vote."""
+        """Share of toxic votes, weighted by closeness, smoothed by the share among all examples; without the row's own vote.
+        Texts without terms have the examples without terms as theirs."""
+        if not len(best) and self.blank is not None:
+            best, score = np.array([self.blank]), np.ones(1)
         toxic, clean = self.toxic[best].copy(), self.clean[best].copy()
         if own is not None:
             mine = best == own[0]
@@ -164,58 +221,39 @@ class BlockMaxIndex:
         closeness = 1.0 / (1.05 - score)
         return float(((closeness * toxic).sum() + PRIOR_VOTES * self.base) / ((closeness * (toxic + clean)).sum() + PRIOR_VOTES))
 
-    def vote_of(self, best: np.ndarray, score: np.ndarray, ids: np.ndarray, own: tuple | None) -> float:
-        """The vote of the neighbours; texts without terms have the examples without terms as theirs."""
-        if not len(ids) and self.blank is not None:
-            best, score = np.array([self.blank]), np.ones(1)
-        return self.vote(best, score, own)
-
     def calibrated(self, vote: float) -> float:
         v = min(max(vote, 1e-4), 1 - 1e-4)
         return float(1 / (1 + np.exp(-(self.slope * np.log(v / (1 - v)) + self.shift))))
 
 
-def build_index(n_terms: int, df: dict[int, int], n_docs: int, examples: list[tuple]) -> BlockMaxIndex:
+def build_index(idf: np.ndarray, examples: list[tuple]) -> BlockMaxIndex:
     """``examples``: (key, toxic, vote weight, term ids, counts). Fits the calibration on the examples, each without itself."""
-    idf = np.array([np.log((1 + n_docs) / (1 + df.get(t, 0))) + 1 for t in range(n_terms)])
-    blank = BlockMaxIndex(idf, [], [], np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0), np.zeros(0), np.zeros(0), {})
     groups: dict[tuple, list] = {}
     for key, toxic, weight, ids, counts in sorted(examples, key=lambda x: (x[0] is None, x[0])):
-        ids, counts = np.array(ids, dtype=np.int64), np.array(counts, dtype=np.int64)
-        w = blank.weigh(ids, counts)
-        # neighbours in the order share their heaviest terms, so that blocks differ and bounds are tight
-        heavy = tuple(ids[np.argsort(-w, kind="stable")].tolist())
-        groups.setdefault((heavy, tuple(ids.tolist()), tuple(counts.tolist())), []).append((key, toxic, weight))
-    order = sorted(groups)
-    n = len(order)
-    postings: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-    toxic, clean, own = np.zeros(n), np.zeros(n), {}
-    for i, g in enumerate(order):
-        ids = np.array(g[1], dtype=np.int64)
-        for t, w in zip(g[1], blank.weigh(ids, np.array(g[2], dtype=np.int64)).tolist() if len(ids) else [], strict=True):
-            postings[t].append((i, w))
+        order = np.argsort(ids)
+        groups.setdefault((tuple(np.asarray(ids)[order].tolist()), tuple(np.asarray(counts)[order].tolist())), []).append((key, toxic, weight))
+    found = list(groups)
+    # copies of a text are one observation of each label, however often it was copied
+    seen = [(np.array(g[0], dtype=np.int64), y) for g in found for y in {x[1] for x in groups[g]}]
+    term_weight = idf * label_weights([s[0] for s in seen], np.array([s[1] for s in seen]), len(idf))
+    vectors = weighed(term_weight, [np.array(g[0], dtype=np.int64) for g in found], [np.array(g[1], dtype=float) for g in found])
+    # neighbours in the order share their heaviest terms, so that blocks differ and bounds are tight
+    heavy = [tuple(v.ids[np.argsort(-v.weights, kind="stable")][:8].tolist()) for v in (vectors.part(i, i + 1) for i in range(len(found)))]
+    order = sorted(range(len(found)), key=lambda i: (heavy[i], found[i]))
+    found = [found[i] for i in order]
+    vectors = weighed(term_weight, [np.array(g[0], dtype=np.int64) for g in found], [np.array(g[1], dtype=float) for g in found])
+    toxic, clean, own = np.zeros(len(found)), np.zeros(len(found)), {}
+    for i, g in enumerate(found):
         for key, label, weight in groups[g]:
             toxic[i] += weight * label
             clean[i] += weight * (1 - label)
             own[key] = (i, weight * label, weight * (1 - label))
-    blocks = -(-n // BLOCK)
-    block_from, block_max = np.zeros((n_terms, blocks + 1), dtype=np.int64), np.zeros((n_terms, blocks))
-    of_term = [np.array([p[0] for p in ps], dtype=np.int64) for ps in postings]
-    weights = [np.array([p[1] for p in ps]) for ps in postings]
-    for t in range(n_terms):
-        block_from[t] = np.searchsorted(of_term[t], np.arange(blocks + 1) * BLOCK)
-        np.maximum.at(block_max[t], of_term[t] // BLOCK, weights[t])
-    shown = np.array([groups[g][0][0] if groups[g][0][0] is not None else -1 for g in order], dtype=np.int64)
-    index = BlockMaxIndex(idf, of_term, weights, block_from, block_max, toxic, clean, shown, own, next((i for i, g in enumerate(order) if not g[1]), None))
-    votes, labels, importance = [], [], []
-    for key, label, weight, ids, counts in examples:
-        ids = np.array(ids, dtype=np.int64)
-        best, score = index.nearest(ids, index.weigh(ids, np.array(counts, dtype=np.int64)))
-        votes.append(index.vote_of(best, score, ids, own[key]))
-        labels.append(label)
-        importance.append(weight)
-    if len(set(labels)) == 2:
-        index.slope, index.shift = platt(np.array(votes), np.array(labels, dtype=float), np.array(importance))
+    index = BlockMaxIndex(term_weight, vectors, toxic, clean, [groups[g][0][0] for g in found], own)
+    near = index.nearest(vectors)
+    judged = [(index.vote(*near[own[key][0]], own[key]), label, weight) for g in found for key, label, weight in groups[g]]
+    if len({j[1] for j in judged}) == 2:
+        votes, labels, importance = (np.array(c, dtype=float) for c in zip(*judged, strict=True))
+        index.slope, index.shift = platt(votes, labels, importance)
     return index
 
 
@@ -235,31 +273,30 @@ def platt(votes: np.ndarray, labels: np.ndarray, importance: np.ndarray) -> tupl
     return float(beta[0]), float(beta[1])
 
 
-def _score(shared, key: str):
+def _score(vocabulary, shared, key: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: BlockMaxIndex = shared.value
-        memo: dict[tuple, tuple] = {}
+        number = {t: i for i, t in enumerate(vocabulary.value)}
         for batch in batches:
-            out, evidence = [], []
-            for k, ids, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                vector = (tuple(ids), tuple(counts))
-                if vector not in memo:
-                    if len(memo) > MEMO_VECTORS:
-                        memo.clear()
-                    at = np.array(ids, dtype=np.int64)
-                    memo[vector] = index.nearest(at, index.weigh(at, np.array(counts, dtype=np.int64)))
-                best, score = memo[vector]
-                own = index.own.get(k)
-                out.append(round(index.calibrated(index.vote_of(best, score, np.array(ids), own)), 6))
-                evidence.append(
-                    [
-                        {"example": int(index.shown[i]), "similarity": round(float(s), 6), "toxic_share": round(float(index.toxic[i] / (index.toxic[i] + index.clean[i])), 6)}
-                        for i, s in zip(best[:EVIDENCE].tolist(), score[:EVIDENCE].tolist(), strict=True)
-                        if own is None or i != own[0]
-                    ]
-                )
-            kind = pa.list_(pa.struct([("example", pa.int64()), ("similarity", pa.float64()), ("toxic_share", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64()), pa.array(evidence, kind)], names=[key, "score", "evidence"])
+            kind = pa.list_(pa.struct([("example", batch.schema.field(0).type), ("similarity", pa.float64()), ("toxic_share", pa.float64())]))
+            for part in slices(batch, "text"):
+                texts: dict = {}  # copies are searched once
+                at = [texts.setdefault(t or "", len(texts)) for t in part.column(1).to_pylist()]
+                tf = [Counter(number[t] for t in terms(text) if t in number) for text in texts]
+                ids = [np.array(sorted(c), dtype=np.int64) for c in tf]
+                near = index.nearest(weighed(index.term_weight, ids, [np.array([c[i] for i in x.tolist()], dtype=float) for c, x in zip(tf, ids, strict=True)]))
+                scores, evidence = [], []
+                for k, i in zip(part.column(0).to_pylist(), at, strict=True):
+                    own, (best, cosine) = index.own.get(k), near[i]
+                    scores.append(round(index.calibrated(index.vote(best, cosine, own)), 6))
+                    evidence.append(
+                        [
+                            {"example": index.shown[j], "similarity": round(float(s), 6), "toxic_share": round(float(index.toxic[j] / (index.toxic[j] + index.clean[j])), 6)}
+                            for j, s in zip(best[: EVIDENCE + 1].tolist(), cosine.tolist())
+                            if own is None or j != own[0]
+                        ][:EVIDENCE]
+                    )
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)], names=[key, "score", "evidence"])
 
     return run
 
@@ -268,12 +305,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """``key, held_out, score, predicted, evidence`` for every row of ``docs``.
 
     Learns from ``labels`` (``key, toxic``) of rows that are not held out: a hash sample of about ``examples`` documents per
-    class, each weighing as many as it stands for. No row is scored with its own label. A text without any of the terms,
-    null and empty ones included, gets the calibrated share of toxic examples among those without terms. ``evidence``: the
-    nearest examples (one key per distinct vector), their cosines and the share of toxic ones among them. Repeated rows and
-    null keys give one row each; several labels of a key count as the largest. Without labels of both classes the score is
-    the share of toxic labels.
+    class, each weighing as many as it stands for. All their terms make the vocabulary; a text is its vector over it. No row
+    is scored with its own label. A text without any of the terms, null and empty ones included, gets the calibrated share of
+    toxic examples among those without terms. ``evidence``: the nearest examples (one key per distinct vector), their cosines
+    and the share of toxic ones among them; equal cosines in order of the vectors. Repeated rows and null keys give one row
+    each; several labels of a key count as the largest. Without labels of both classes the score is the share of toxic
+    labels. Texts of any length are read whole; an empty table gives no rows; other columns are not read.
     """
+    spark = docs.sparkSession
     known = labels.filter(labels[toxic].isNotNull() & labels[key].isNotNull() & ~held_out(labels[key])).groupBy(labels[key].alias("_key")).agg(F.max(toxic).cast("int").alias("toxic"))
     known = written(known, "toxicity-labels")
     n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -281,16 +320,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     chosen = written(known.filter(uniform_hash(F.col("_key"), F.lit(7)) < share), "toxicity-chosen")
     small = F.broadcast(chosen)  # about 2 * examples rows of a key and a label, whatever the input
     rows = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
-    vocabulary = choose_terms(rows.join(small, F.col("key") == F.col("_key")).select("text", "toxic"))
-    words = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kind = docs.schema[key].dataType.simpleString()
-    vectors = written(map_arrow(rows, _vectors(words), f"key {kind}, terms array<int>, counts array<int>"), "toxicity-vectors")
-    counted = map_arrow(vectors.select("terms"), _frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = {r["term"]: r["n"] for r in counted.collect()}  # at most TERMS rows
-    taken = vectors.join(small, F.col("key") == F.col("_key")).dropDuplicates(["key"]).select("key", "toxic", "terms", "counts").collect()
+    sample = rows.join(small, F.col("key") == F.col("_key")).dropDuplicates(["key"]).select("key", "toxic", "text")
+    taken = map_arrow(sample, _example_terms, f"key {kind}, toxic int, terms array<binary>, counts array<bigint>").collect()
+    words = sorted({bytes(t) for r in taken for t in r["terms"]})  # the terms of about 2 * examples texts
+    number = {t: i for i, t in enumerate(words)}
+    vocabulary = spark.sparkContext.broadcast(words)
+    counted = map_arrow(rows.select("text"), _frequencies(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    df = {r["term"]: r["n"] for r in counted.collect()}
+    n_docs = df.pop(-1, 0)
+    idf = np.log((1 + n_docs) / (1 + np.array([df.get(i, 0) for i in range(len(words))], dtype=float))) + 1
     weight = {c: max(1.0, m / examples) for c, m in n.items()}
-    index = build_index(len(vocabulary), df, vectors.count(), [(r["key"], r["toxic"], weight[r["toxic"]], r["terms"], r["counts"]) for r in taken])
-    scored = map_arrow(
-        vectors, _score(docs.sparkSession.sparkContext.broadcast(index), key), f"{key} {kind}, score double, evidence array<struct<example:bigint,similarity:double,toxic_share:double>>"
-    )
+    index = build_index(idf, [(r["key"], r["toxic"], weight[r["toxic"]], [number[bytes(t)] for t in r["terms"]], r["counts"]) for r in taken])
+    schema = f"{key} {kind}, score double, evidence array<struct<example:{kind},similarity:double,toxic_share:double>>"
+    scored = map_arrow(rows, _score(vocabulary, spark.sparkContext.broadcast(index), key), schema)
     return scored.select(key, held_out(F.col(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
