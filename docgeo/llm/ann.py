@@ -4,8 +4,9 @@ A vector is represented by its nearest pivots in order. Every vector is posted,
 in the inverted files of those pivots; a query reads the files of its own nearest pivots and ranks what it finds by
 Spearman's footrule between the orders. The best share of each shard is reranked by the exact inner product.
 
-Vectors are cut into shards and queries into blocks of bounded size; each block meets each shard once. Identical vectors are
-one vector with a list of ids, so copies of a vector, however many, cost nothing.
+Vectors are cut into shards of bounded size. A task builds the files of a shard once and lets the queries pass by, a batch
+at a time; vectors are not copied. Identical vectors are one vector with a list of ids, so copies of a vector, however many,
+cost nothing.
 """
 
 from __future__ import annotations
@@ -24,18 +25,18 @@ from docgeo.session import ship_package
 
 @dataclass(frozen=True)
 class PermutationIndex:
-    """``pivots``: how many vectors serve as pivots (a hash sample of the distinct ones). ``indexed`` and ``asked``: nearest
-    pivots kept of a vector and of a query; fewer of a query find more, as its own nearest ones say most. ``rerank``: the
-    share of the vectors scored exactly, ``least_rerank`` their least number. On random directions in 64 dimensions, where
-    no index has structure to use, these find 0.97 of the true neighbours and more."""
-
-    pivots: int = 1024
-    indexed: int = 128
-    asked: int = 64
-    rerank: float = 0.12
-    least_rerank: int = 2000
+    """``pivots``: how many vectors serve as pivots at most (a hash sample of the distinct ones). ``indexed``: nearest pivots
+    kept of a vector at most, and no more than an eighth of all pivots; ``asked``: those of a query, whose files it reads (two
+    to four postings per vector in all; fewer find less). ``rerank``: the share of the vectors scored exactly, but
+    ``rerank_times`` as many as are wanted at least. On random directions in 64 dimensions, where no index has structure to
+    use, these find 0.95 of the true neighbours (500, 2,000 and 51,282 vectors)."""
+
+    pivots: int = 4096
+    indexed: int = 256
+    asked: int = 32
+    rerank: float = 0.06
+    rerank_times: int = 5
     shard: int = 8192
-    block: int = 2048
 
 
 def usable(v: Column) -> Column:
@@ -54,65 +55,101 @@ def _orders(pivots: np.ndarray, lift: np.ndarray, longest: float, keep: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("v")
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
                 v = _matrix(part.column(at), pivots.shape[1])
                 rest = np.sqrt(np.maximum(longest**2 - (v * v).sum(axis=1), 0))
-                near = np.argsort(-(v @ pivots.T + rest[:, None] * lift), axis=1, kind="stable")[:, :keep].astype(np.int32)
+                far = -(v @ pivots.T + rest[:, None] * lift)
+                near = np.argpartition(far, keep - 1, axis=1)[:, :keep] if keep < len(pivots) else np.tile(np.arange(keep), (len(v), 1))
+                near = np.sort(near, axis=1)  # equally near ones by their number
+                near = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable"), axis=1).astype(np.int32)
                 flat = pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * near.shape[1], pa.array(near.ravel()))
                 yield part.append_column("near", flat)
 
     return run
 
 
-def search_shard(vectors: np.ndarray, near: np.ndarray, queries: np.ndarray, asked: np.ndarray, n_pivots: int, rerank: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each query the positions of up to ``k`` vectors and their inner products, best first.
-
-    ``near``: the pivots of each vector in order; ``asked``: those of each query. What a pivot adds to the footrule, set
-    against a vector that doesn't have it, is summed over the files read.
-    """
-    width, n = near.shape[1], len(vectors)
-    flat = near.ravel()
-    by_pivot = np.argsort(flat, kind="stable")
-    who, place = (by_pivot // width).astype(np.int32), (by_pivot % width).astype(np.int32)
-    start = np.searchsorted(flat[by_pivot], np.arange(n_pivots + 1)).tolist()
-    at = np.arange(asked.shape[1])[:, None]
-    gain = np.abs(at - width) - np.abs(at - np.arange(width)[None, :]).astype(np.float64)  # [place in query, place in vector]
-    for q, pivots in zip(queries, asked.tolist(), strict=True):
-        files = [(start[p], start[p + 1]) for p in pivots]
-        found = np.concatenate([who[s:e] for s, e in files])
-        worth = np.concatenate([g[place[s:e]] for g, (s, e) in zip(gain, files, strict=True)])
+class Shard:
+    """Vectors with their pivots in order, posted in the pivots' files."""
+
+    def __init__(self, vectors: np.ndarray, near: np.ndarray, n_pivots: int, asked: int) -> None:
+        self.vectors, width = vectors, near.shape[1]
+        flat = near.ravel()
+        by_pivot = np.argsort(flat, kind="stable")
+        self.who, self.place = (by_pivot // width).astype(np.int32), (by_pivot % width).astype(np.int32)
+        self.start = np.searchsorted(flat[by_pivot], np.arange(n_pivots + 1)).tolist()
+        # what a pivot adds to the footrule, set against a vector that doesn't have it: [place in query, place in vector]
+        at = np.arange(asked)[:, None]
+        self.gain = np.maximum(0, np.abs(at - width) - np.abs(at - np.arange(width)[None, :])).astype(np.float64)
+
+    def postings(self, asked: np.ndarray) -> int:
+        """How many postings a query reads."""
+        return sum(self.start[p + 1] - self.start[p] for p in asked.tolist())
+
+    def search(self, query: np.ndarray, asked: np.ndarray, rerank: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of up to ``k`` vectors, more where the last ones tie, and their inner products."""
+        files = [(self.start[p], self.start[p + 1]) for p in asked.tolist()]
+        found = np.concatenate([self.who[s:e] for s, e in files])
+        worth = np.concatenate([g[self.place[s:e]] for g, (s, e) in zip(self.gain, files, strict=False)])
+        n = len(self.vectors)
         closeness = np.bincount(found, weights=worth, minlength=n)
         best = np.argpartition(-closeness, rerank - 1)[:rerank] if rerank < n else np.arange(n)
-        score = (vectors[best] * q).sum(axis=1)
         if len(best) > k:
-            # ties at the k-th score stay in, to be settled by id
-            floor = score[np.argpartition(-score, k - 1)[k - 1]]
-            best, score = best[score >= floor], score[score >= floor]
-        yield best, score
+            rough = self.vectors[best] @ query
+            floor = np.partition(rough, len(rough) - k)[len(rough) - k]
+            best = best[rough >= floor - 1e-9 * max(1.0, abs(floor))]
+        score = (self.vectors[best] * query).sum(axis=1)
+        if len(best) > k:
+            keep = score >= np.partition(score, len(score) - k)[len(score) - k]  # ties at the k-th score are settled by id
+            best, score = best[keep], score[keep]
+        return best, score
 
 
-def _search_cell(width: int, n_pivots: int, params: PermutationIndex, rerank_all: int, shards: int, k: int):
-    def run(_, vectors: pa.Table, queries: pa.Table) -> pa.Table:
+def _search(width: int, n_pivots: int, params: PermutationIndex, wanted: int, shards: int, k: int):
+    """Rows sorted by shard, the vectors (side 0) before the queries (side 1): ``q, rep, score, ids`` of what is found."""
+    indexed, asked = _kept(params, n_pivots)
+
+    def found(shard: Shard, reps: np.ndarray, ids: list, part: pa.RecordBatch) -> pa.RecordBatch:
         q_out, rep_out, score_out, ids_out = [], [], [], []
-        if len(vectors) and len(queries):
-            v, q = _matrix(vectors["v"], width), _matrix(queries["v"], width)
-            near = _matrix(vectors["near"], min(params.indexed, n_pivots), np.int64)
-            asked = _matrix(queries["near"], min(params.asked, n_pivots), np.int64)
-            rerank = max(k, -(-rerank_all // shards), int(np.ceil(params.rerank * len(v))))
-            reps, ids, names = vectors["rep"].to_numpy(), vectors["ids"].to_pylist(), queries["rep"].to_pylist()
-            for name, (best, score) in zip(names, search_shard(v, near, q, asked, n_pivots, rerank, k), strict=True):
-                order = np.lexsort((reps[best], -score))[:k]
-                q_out += [name] * len(order)
-                rep_out += reps[best[order]].tolist()
-                score_out += score[order].tolist()
-                ids_out += [ids[i] for i in best[order].tolist()]
+        rerank = max(k, -(-wanted // shards), int(np.ceil(params.rerank * len(reps))))
+        near = _matrix(part.column(5), asked, np.int64)
+        for name, query, pivots in zip(part.column(2).to_pylist(), _matrix(part.column(4), width), near, strict=True):
+            best, score = shard.search(query, pivots, rerank, k)
+            order = np.lexsort((reps[best], -score))[:k]
+            q_out += [name] * len(order)
+            rep_out += reps[best[order]].tolist()
+            score_out += score[order].tolist()
+            ids_out += [ids[i] for i in best[order].tolist()]
         types = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
-        return pa.table([pa.array(c, t) for c, t in zip((q_out, rep_out, score_out, ids_out), types, strict=True)], names=["q", "rep", "score", "ids"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((q_out, rep_out, score_out, ids_out), types, strict=True)], names=["q", "rep", "score", "ids"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, rows, shard, reps, ids = None, [], None, None, None
+        for batch in batches:
+            shard_of, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            turns = np.flatnonzero((np.diff(shard_of, prepend=shard_of[:1] - 1) != 0) | (np.diff(side, prepend=side[:1]) != 0)).tolist()
+            for s, e in zip(turns, [*turns[1:], batch.num_rows], strict=True):
+                part = batch.slice(s, e - s)
+                if number != shard_of[s]:
+                    number, rows, shard = shard_of[s], [], None
+                if side[s] == 0:
+                    rows.append(part)  # a shard has about params.shard vectors
+                    continue
+                if shard is None and rows:
+                    v, near = (np.concatenate([_matrix(r.column(i), w, t) for r in rows]) for i, w, t in ((4, width, np.float64), (5, indexed, np.int64)))
+                    reps, ids = np.concatenate([r.column(2).to_numpy() for r in rows]), [x for r in rows for x in r.column(3).to_pylist()]
+                    shard, rows = Shard(v, near, n_pivots, asked), []
+                if shard is not None:
+                    yield found(shard, reps, ids, part)
 
     return run
 
 
+def _kept(params: PermutationIndex, n_pivots: int) -> tuple[int, int]:
+    """Pivots kept of a vector and of a query."""
+    return min(params.indexed, -(-n_pivots // 8)), min(params.asked, n_pivots)
+
+
 def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20, key: str = "vec_id", vector: str = "embedding", params: PermutationIndex = PermutationIndex()) -> DataFrame:
     """``query_id, rank, <key>, score``: for each query row its ``k`` nearest found among all other rows.
 
@@ -141,23 +178,22 @@ def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 2
     pivots = np.array([r["v"] for r in distinct.orderBy(F.xxhash64("rep"), "rep").limit(params.pivots).select("v").collect()], dtype=np.float64)
     lift = np.sqrt(np.maximum(longest**2 - (pivots * pivots).sum(axis=1), 0))
     schema = "rep long, ids array<bigint>, v array<double>, near array<int>"
-    index = written(map_arrow(distinct, _orders(pivots, lift, longest, min(params.indexed, len(pivots))), schema), "ann-index")
+    indexed, asked = _kept(params, len(pivots))
+    index = written(map_arrow(distinct, _orders(pivots, lift, longest, indexed), schema), "ann-index")
 
     asking = rows.filter(is_query(F.col("id"))).select(F.col("id").alias("query_id"), "v")
     names = distinct.select("rep", "v")
     of_query = written(asking.join(names, "v").select("query_id", F.col("rep").alias("q")), "ann-queries")
-    blocks = -(-max(1, of_query.select("q").distinct().count()) // params.block)
     shards = -(-n // params.shard)
-    number = lambda c, m: F.pmod(F.xxhash64(c), F.lit(m)).cast("int")
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    shelf = index.withColumns({"shard": number("rep", shards), "block": every(blocks)})
     # a query reads its own nearest pivots only; the lift of a query is 0, so its order is by inner product
     query_vectors = names.join(of_query.select(F.col("q").alias("rep")).distinct(), "rep").select("rep", F.array().cast("array<bigint>").alias("ids"), "v")
-    ordered = map_arrow(query_vectors, _orders(pivots, np.zeros(len(pivots)), longest, min(params.asked, len(pivots))), schema)
-    asked = ordered.drop("ids").withColumns({"block": number("rep", blocks), "shard": every(shards)})
-    cell = ["shard", "block"]
-    run = _search_cell(width, len(pivots), params, params.least_rerank, shards, k + 1)
-    found = shelf.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(run, "q long, rep long, score double, ids array<bigint>")
+    ordered = written(map_arrow(query_vectors, _orders(pivots, np.zeros(len(pivots)), longest, asked), schema), "ann-asked")
+    row = ["shard", "side", "rep", "ids", "v", "near"]
+    shelf = index.withColumns({"shard": F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"), "side": F.lit(0)}).select(*row)
+    passing = ordered.withColumns({"shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))), "side": F.lit(1)}).select(*row)
+    sorted_rows = shelf.unionByName(passing).repartition("shard").sortWithinPartitions("shard", "side")
+    wanted = params.rerank_times * (k + 1)
+    found = map_arrow(sorted_rows, _search(width, len(pivots), params, wanted, shards, k + 1), "q long, rep long, score double, ids array<bigint>")
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "rep"))
     top = found.withColumn("_n", best).filter(F.col("_n") <= k + 1).select("q", "score", F.explode("ids").alias("id"))
     listed = top.groupBy("q").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "id"))).alias("all"))  # at most (k + 1)^2 each
