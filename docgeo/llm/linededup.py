@@ -62,7 +62,7 @@ def plan(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     return own + probes
 
 
-def _post(edits: int, min_chars: int):
+def _post(edits: int, min_chars: int, max_chars: int | None = None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, plans, seen = xxhash.xxh64_intdigest, {}, set()
         for batch in batches:
@@ -70,7 +70,7 @@ def _post(edits: int, min_chars: int):
                 keys, ids, times, probe = [], [], [], []
                 for text in part.column(0).to_pylist():
                     for line in (text or "").split("\n"):
-                        if len(line) < min_chars or (own := digest(line, SEED)) in seen:
+                        if len(line) < min_chars or (max_chars is not None and len(line) > max_chars) or (own := digest(line, SEED)) in seen:
                             continue
                         seen.add(own)
                         steps = plans.get(len(line))
@@ -274,14 +274,17 @@ def _verify(edits: int):
     return run
 
 
-def line_links(docs: DataFrame, edits: int, min_chars: int, text: str = "text") -> DataFrame:
-    """``a, b``: numbers (xxhash64) of different lines that connect all lines within ``edits`` edits of each other."""
+def line_links(docs: DataFrame, edits: int, min_chars: int, text: str = "text", max_chars: int | None = None) -> DataFrame:
+    """``a, b``: numbers (xxhash64) of different lines that connect all lines within ``edits`` edits of each other, of those
+    that have from ``min_chars`` to ``max_chars`` characters (any number, if None)."""
     whole = docs.select(docs[text].cast("string").alias("text"))
-    posted = map_arrow(whole, _post(edits, min_chars), "key long, line long, probe byte")
+    posted = map_arrow(whole, _post(edits, min_chars, max_chars), "key long, line long, probe byte")
     order = ["key", "probe", "line"]
     met = written(map_arrow(posted.repartition("key").sortWithinPartitions(*order).select("key", "line", "probe"), _meetings, "key long, line long, probe long"), "lines-met")
     wanted = written(met.select("line").distinct(), "lines-wanted")
     lines = whole.select(F.explode(F.split("text", "\n")).alias("text")).filter(F.length("text") >= min_chars)
+    if max_chars is not None:
+        lines = lines.filter(F.length("text") <= max_chars)
     # the wanted lines grow with the corpus, so they are never broadcast
     texts = lines.withColumn("line", F.xxhash64("text")).join(wanted.hint("merge"), "line").groupBy("line").agg(F.min("text").alias("text"))
     grid = cells(met, ["key"], "line", CELL, "lines-crowded").join(texts, "line")
@@ -299,10 +302,14 @@ def line_occurrences(docs: DataFrame, min_chars: int, key: str = "doc_id", text:
     return lines.filter(some).select(key, "line_no", F.xxhash64("text").alias("line"))
 
 
-def line_classes(docs: DataFrame, edits: int = 2, min_chars: int = 16, key: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
+def line_classes(
+    docs: DataFrame, edits: int = 2, min_chars: int = 16, key: str = "doc_id", text: str = "text", short: bool = False, fewer: tuple[tuple[int, int], ...] = ()
+) -> DataFrame:
     """``key, line_no, first_<key>, first_line_no, kept`` for every line of at least ``min_chars`` characters.
 
-    With ``short`` also for every shorter line that is not blank (ASCII white space); those are classed by equality alone.
+    With ``short`` also for every shorter line that is not blank (ASCII white space). Those are joined with fewer edits:
+    ``fewer`` lists (least characters, edits), the longest first; a pair has the edits of its shorter line. Lines below all of
+    these are classed by equality alone.
 
     Lines are split at line feeds and numbered from 0. Lines within ``edits`` (character insertions, deletions and
     substitutions) of each other are linked; a class holds what links reach. ``first_*`` is the class's first occurrence in
@@ -312,7 +319,14 @@ def line_classes(docs: DataFrame, edits: int = 2, min_chars: int = 16, key: str
     """
     if min_chars <= edits:
         raise ValueError("min_chars must exceed edits")
-    linked = components(line_links(docs, edits, min_chars, text), "a", "b", "line-links")
+    links, above, most = line_links(docs, edits, min_chars, text), min_chars, edits
+    for least, allowed in fewer if short else ():
+        if not allowed < least < above or allowed >= most:
+            raise ValueError("fewer must list falling lengths and edits, with more characters than edits")
+        # the shorter line of a pair has less than `above` characters, so the longer one has fewer than `above + allowed`
+        links = links.unionByName(line_links(docs, allowed, least, text, above + allowed - 1))
+        above, most = least, allowed
+    linked = components(links, "a", "b", "line-links")
     here = written(line_occurrences(docs, min_chars, key, text, short), "line-occurrences")
     place = F.struct(key, "line_no")
     first = here.groupBy("line").agg(F.min(place).alias("first"))

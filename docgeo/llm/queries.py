@@ -84,8 +84,8 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class and fate of every line of all documents: 2 edits or fewer apart from 16 characters on, equal below."""
-    return linededup.line_classes(table(spark, sf_dir, "documents"), edits=2, min_chars=16, short=True)
+    """Class and fate of every line of all documents: 2 edits or fewer apart from 16 characters on, 1 from 8 on, equal below."""
+    return linededup.line_classes(table(spark, sf_dir, "documents"), edits=2, min_chars=16, short=True, fewer=((8, 1),))
 
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -47,8 +48,10 @@ def test_a_segment_or_probe_meets(edits):
         assert any(x[:2] == y[:2] and 0 in (x[2], y[2]) for x in keys[0] for y in keys[1]), (a, b)
 
 
-def brute(docs, edits, least):
-    lines = [(d, i, x) for d, t in docs if d is not None and t is not None for i, x in enumerate(t.split("\n")) if len(x) >= least]
+def brute(docs, edits, least, fewer=()):
+    """``fewer``: as in line_classes, and lines with other than white space below all of those by equality."""
+    lines = [(d, i, x) for d, t in docs if d is not None and t is not None for i, x in enumerate(t.split("\n")) if len(x) >= least or (fewer and x.strip(" \t\n\x0b\x0c\r"))]
+    allowed = lambda n: next((e for chars, e in ((least, edits), *fewer) if n >= chars), 0)
     texts = sorted({x for _, _, x in lines})
     label = {x: x for x in texts}
 
@@ -59,7 +62,8 @@ def brute(docs, edits, least):
 
     for i, a in enumerate(texts):
         for b in texts[:i]:
-            if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+            most = allowed(min(len(a), len(b)))
+            if abs(len(a) - len(b)) <= most and distance(a, b) <= most:
                 label[root(a)] = root(b)
     first = {}
     for d, i, x in sorted(lines):
@@ -107,14 +111,30 @@ def test_short_lines_are_classed_by_equality(spark):
     assert got == [(1, 0, 1, 0, True), (1, 2, 1, 2, True), (1, 3, 1, 0, False), (2, 0, 2, 0, True), (2, 2, 1, 0, False), (2, 3, 2, 3, True), (3, 0, 1, 2, False), (3, 1, 2, 3, False)]
 
 
-def test_query_has_short_lines(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
-    want = {(r["doc_id"], i): x for r in docs for i, x in enumerate((r["text"] or "").split("\n")) if len(x) < 16 and x.strip(" \t\n\x0b\x0c\r")}
-    got = {(r["doc_id"], r["line_no"]): r for r in queries.QUERIES["op10_line_dedup"](spark, "/root/testdata/sf0.001").collect()}
-    first = {}
-    for at, x in sorted(want.items()):
-        first.setdefault(x, at)
-    assert want and all((got[at]["first_doc_id"], got[at]["first_line_no"]) == first[x] for at, x in want.items())
+def test_short_lines_are_joined_with_fewer_edits(spark):
+    rnd = random.Random(11)
+    lines = []
+    for _ in range(80):
+        base = "".join(rnd.choice("abcd ") for _ in range(rnd.randrange(1, 19)))
+        lines += [base, *(mutated(rnd, base, rnd.randrange(0, 3)) for _ in range(3))]
+    docs = [(i, "\n".join(lines[i * 8 : i * 8 + 8])) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for fewer in (((8, 1),), ((9, 2), (5, 1))):
+        edits = fewer[0][1] + 1
+        got = L.line_classes(df, edits, 14, short=True, fewer=fewer).collect()
+        assert sorted(tuple(r) for r in got) == brute(docs, edits, 14, fewer)
+    with pytest.raises(ValueError):
+        L.line_classes(df, 2, 16, short=True, fewer=((1, 1),))
+
+
+def test_query_over_all_lines(spark):
+    """The registered query on a table of all shorter lines of the documents, of every length from 1 on."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], "\n".join(x for x in (r["text"] or "").split("\n") if len(x) < 50)) for r in docs.collect()]
+    path = tempfile.mkdtemp(prefix="lines-")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    got = queries.QUERIES["op10_line_dedup"](spark, path).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 2, 16, ((8, 1),))
 
 
 def test_array_positions():
