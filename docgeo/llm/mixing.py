@@ -100,8 +100,8 @@ def fit(rows: DataFrame, mix: Mix) -> Fit:
 
     Each round sets every source's factor from the current language and topic factors and sums the table by language and
     topic, in one job; the driver holds only those sums. Stops when all language and topic shares are within the tolerance
-    (sources are exact by then), else after ``mix.rounds`` rounds, or when ``PATIENCE`` rounds
-    brought no progress: no weights can meet the targets then, and ``residual`` is the largest miss.
+    (sources are exact by then), else after ``mix.rounds`` rounds, or when ``PATIENCE`` rounds together
+    brought no progress (1 %): no weights can meet the targets then. ``residual`` is the largest miss of a share.
     """
     langs = [*[n for n in mix.languages if n != OTHER], OTHER]
     topics = [*[n for n in mix.topics if n != OTHER], OTHER]
@@ -129,16 +129,15 @@ def fit(rows: DataFrame, mix: Mix) -> Fit:
     b, c = np.ones(len(langs)), np.ones(len(topics))
     found = table(F.lit(1.0))
     want_lang, want_topic = _targets(mix.languages, langs, found.sum(axis=1)), _targets(mix.topics, topics, found.sum(axis=0))
-    rounds, residual, best, stuck = 0, np.inf, np.inf, 0
+    rounds, residual, misses = 0, np.inf, []
     over = lambda want, have: np.divide(want, have, out=np.zeros_like(want), where=have > 0)
     while rounds < mix.rounds:
         rounds += 1
         by_source = table(target / tokens(weighted(b, c)))
         have = by_source * np.outer(b, c)
         residual = max(np.abs(have.sum(axis=1) - want_lang).max(), np.abs(have.sum(axis=0) - want_topic).max())
-        stuck = 0 if residual < 0.99 * best else stuck + 1
-        best = min(best, residual)
-        if residual < mix.tolerance or stuck == PATIENCE:
+        misses.append(residual)
+        if residual < mix.tolerance or (rounds > PATIENCE and residual > 0.99 * misses[-1 - PATIENCE]):
             break
         b = over(want_lang, (by_source * c).sum(axis=1))
         c = over(want_topic, (by_source * b[:, None]).sum(axis=0))
@@ -166,7 +165,8 @@ def scaled_weight(done: Fit, label: Column, factor: Column) -> Column:
 
 
 def sample(rows: DataFrame, key: Column, mix: Mix) -> DataFrame:
-    """``rows`` with ``weight`` (relative to an even sample), ``probability`` and ``sampled``.
+    """``rows`` with ``weight`` (relative to an even sample), ``probability`` and ``sampled``, and what the fit reached, the
+    same in every row: ``residual``, the largest miss of a target share, and ``rounds``.
 
     ``rows`` has ``source, lang, topic, tokens``. A row is sampled if a number made from ``key`` alone falls below its
     probability, so the choice is the same in any run, order or partitioning, and repeated rows go together. Rows without
@@ -177,7 +177,8 @@ def sample(rows: DataFrame, key: Column, mix: Mix) -> DataFrame:
     known = rows.join(done.sources, "source", "left")
     known = known.withColumn("_p", scaled_weight(done, F.struct("source", "lang", "topic", "tokens"), F.col("factor"))).drop("factor")
     known = known.withColumns({"weight": F.round(F.col("_p") / mix.keep, 9), "probability": F.least(F.lit(1.0), "_p")}).drop("_p")
-    return known.withColumn("sampled", uniform_hash(key, F.lit(mix.seed)) < F.col("probability"))
+    known = known.withColumn("sampled", uniform_hash(key, F.lit(mix.seed)) < F.col("probability"))
+    return known.withColumns({"residual": F.lit(done.residual), "rounds": F.lit(done.rounds)})
 
 
 def draw(docs: DataFrame, mix: Mix, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:

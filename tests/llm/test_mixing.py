@@ -76,3 +76,14 @@ def test_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert mixing.draw(no_docs, Mix()).collect() == []
     only = no_docs.sparkSession.createDataFrame([(1, "", None, None)], no_docs.schema)
     assert mixing.draw(only, Mix()).collect() == []
+
+
+def test_what_the_fit_reached_is_told(spark):
+    """Targets that can be met, and ones that can't: a source of one topic that both are to fill."""
+    rows = [(f"s{i % 3}", "en" if i % 2 else "de", "prose" if i % 5 else "table", 10 + i % 7) for i in range(300)]
+    df = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long").withColumn("id", F.monotonically_increasing_id())
+    out = mixing.sample(df, F.col("id"), Mix()).select("residual", "rounds").distinct().collect()
+    assert len(out) == 1 and out[0]["residual"] < Mix().tolerance and out[0]["rounds"] >= 1
+    apart = spark.createDataFrame([("a", "en", "prose", 100), ("b", "de", "table", 100)], "source string, lang string, topic string, tokens long").withColumn("id", F.monotonically_increasing_id())
+    bad = mixing.sample(apart, F.col("id"), Mix(languages={"en": 0.9, "de": 0.1}, topics={"prose": 0.1, "table": 0.9})).first()
+    assert bad["residual"] > 0.1 and bad["rounds"] > mixing.PATIENCE
