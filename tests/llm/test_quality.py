@@ -58,6 +58,16 @@ def test_order_is_by_rejections_per_second(spark, monkeypatch):
     assert [r.name for r in Q.cascade_order(sample, rules)] == ["most", "some", "none"]
 
 
+def test_words_in_runs_count_each(spark):
+    """A long run of one word weighs as many words as it has."""
+    rule = next(r for r in Q.default_rules() if r.name == "word_runs")
+    other = " ".join(f"w{i}" for i in range(400))
+    texts = ["la " * 100 + other, "la " * 70 + other, "so so " + other, "a a a b b b c c c x y", ("la " * 100_000) + other]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    df = df.withColumn("n_words", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")).withColumn("word_chars", F.lit(0))
+    assert [r["x"] for r in df.orderBy("id").select(rule.rejects.alias("x")).collect()] == [True, False, False, True, True]
+
+
 def test_empty_table(no_docs):
     assert Q.quality(no_docs).collect() == []
 
