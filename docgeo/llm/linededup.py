@@ -286,7 +286,8 @@ def line_links(docs: DataFrame, edits: int, min_chars: int, text: str = "text",
     if max_chars is not None:
         lines = lines.filter(F.length("text") <= max_chars)
     # the wanted lines grow with the corpus, so they are never broadcast
-    texts = lines.withColumn("line", F.xxhash64("text")).join(wanted.hint("merge"), "line").groupBy("line").agg(F.min("text").alias("text"))
+    # copies of a line are put together in every task before any text is shuffled
+    texts = lines.withColumn("line", F.xxhash64("text")).groupBy("line").agg(F.min("text").alias("text")).join(wanted.hint("merge"), "line")
     grid = cells(met, ["key"], "line", CELL, "lines-crowded").join(texts, "line")
     cell = ["key", "low", "high"]
     rows = grid.repartition(*cell).sortWithinPartitions(*cell).select(*cell, "line", "text", "probe", "side")
