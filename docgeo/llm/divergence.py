@@ -48,14 +48,14 @@ def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
 
 
-def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[str, str], list[bytes], list[int], list[int]]]:
-    """Of rows ``lang, source, text``: terms of each (lang, source), their occurrences and documents, a bounded number at a time."""
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[int], list[int]]]:
+    """Of rows ``group, text``: terms of each group, their occurrences and documents, a bounded number at a time."""
     count, docs = defaultdict(Counter), defaultdict(Counter)
     size = 0
     for batch in batches:
         for part in slices(batch, "text"):
-            for lang, source, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                found, group = terms(text), (lang, source)
+            for group, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                found = terms(text)
                 size -= len(count[group])
                 count[group].update(found)
                 docs[group].update(set(found))
@@ -70,23 +70,33 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[str, str
 
 def _digest_counts(bits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), found, count, docs in _counted(batches):
-            columns = [pa.array([lang] * len(found)), pa.array([source] * len(found)), _signed([digest(t, bits) for t in found]), pa.array(count, pa.int64()), pa.array(docs, pa.int64())]
-            yield pa.RecordBatch.from_arrays([columns[0].cast(pa.string()), columns[1].cast(pa.string()), *columns[2:]], names=["lang", "source", "digest", "count", "docs"])
+        for group, found, count, docs in _counted(batches):
+            columns = [pa.array(np.full(len(found), group)), _signed([digest(t, bits) for t in found]), pa.array(count, pa.int64()), pa.array(docs, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["group", "digest", "count", "docs"])
 
     return run
 
 
 def _term_counts(bits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), found, count, docs in _counted(batches):
-            n = len(found)
-            columns = [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), _signed([digest(t, bits) for t in found]), pa.array([t.decode() for t in found], pa.string())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(count, pa.int64()), pa.array(docs, pa.int64())], names=["lang", "source", "digest", "term", "count", "docs"])
+        for group, found, count, docs in _counted(batches):
+            columns = [pa.array(np.full(len(found), group)), _signed([digest(t, bits) for t in found]), pa.array([t.decode() for t in found], pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(count, pa.int64()), pa.array(docs, pa.int64())], names=["group", "digest", "term", "count", "docs"])
 
     return run
 
 
+def numbered_groups(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """(lang, source, group) of all groups, and the expression of ``group``: a hash that no two groups share."""
+    found = written(rows.select("lang", "source").distinct(), "divergence-named")
+    for seed in range(100):
+        group = F.xxhash64("lang", "source", F.lit(seed))
+        n, apart = found.agg(F.count("*"), F.count_distinct(group)).first()
+        if n == apart:
+            return found.withColumn("group", group), group
+    raise RuntimeError("no seed tells the groups apart")
+
+
 def _distinct_terms(bits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """``digest, term``: each distinct term of some texts once."""
@@ -195,10 +205,13 @@ def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, bits: int = 6
     none = F.lit("")
     clean = [F.coalesce(docs[c].cast("string"), none).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))]
     rows = docs.select(*clean)
-    key = ["lang", "source", "digest"]
+    named, group = numbered_groups(rows)
+    texts = rows.select(group.alias("group"), "text")
+    key = ["group", "digest"]
     sums = [F.sum("count").alias("count"), F.sum("docs").alias("docs")]
-    counts = written(map_arrow(rows, _digest_counts(bits), "lang string, source string, digest long, count long, docs long").groupBy(*key).agg(*sums), "divergence-counts")
-    often = counts.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
+    counts = written(map_arrow(texts, _digest_counts(bits), "group long, digest long, count long, docs long").groupBy(*key).agg(*sums), "divergence-counts")
+    lang_of = named.select("group", "lang")
+    often = counts.join(lang_of, "group").groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
     often = written(often.select("digest").distinct(), "divergence-often")
     # one row per task and distinct term, of which only those that matter go on to be compared
     spelled = map_arrow(rows.select("text"), _distinct_terms(bits), "digest long, term string").join(often, "digest", "left_semi")
@@ -206,9 +219,10 @@ def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, bits: int = 6
     shared = names.filter(F.col("low") != F.col("high")).select("digest")
     counts = counts.join(often, "digest", "left_semi").withColumn("split", none)
     if not shared.isEmpty():
-        again = map_arrow(rows, _term_counts(bits), "lang string, source string, digest long, term string, count long, docs long").join(shared, "digest", "left_semi")
+        again = map_arrow(texts, _term_counts(bits), "group long, digest long, term string, count long, docs long").join(shared, "digest", "left_semi")
         again = again.groupBy(*key, F.col("term").alias("split")).agg(*sums)
-        counts = written(counts.join(shared, "digest", "left_anti").unionByName(again), "divergence-split")
+        counts = counts.join(shared, "digest", "left_anti").unionByName(again)
+    counts = written(counts.join(named, "group").drop("group"), "divergence-kept-counts")
     term = ["lang", "digest", "split"]
     kept = counts.groupBy(*term).agg(F.sum("count").alias("total"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
     kept = written(kept.withColumn("term", F.monotonically_increasing_id()), "divergence-kept")
@@ -217,7 +231,7 @@ def divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, bits: int = 6
     of_lang = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("n_lang"))
     of_group = per.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     zero = F.lit(0).cast("long")
-    groups = rows.select("lang", "source").distinct().join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left")
+    groups = named.select("lang", "source").join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left")
     groups = written(groups.select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("n", "v", "n_lang")]), "divergence-groups")
     shares = per.join(groups, ["lang", "source"]).withColumns({"p": share(F.col("count"), F.col("n"), F.col("v")), "q": share(F.col("total"), F.col("n_lang"), F.col("v"))})
 
