@@ -1,8 +1,8 @@
 """Phrase collocation mining by vertically partitioned, depth-truncated suffix trees.
 
 Every word of a text starts a suffix, cut off after the longest phrase's length or at the end of its piece. Prefixes are
-grouped by a memory budget: a prefix of more suffixes than a share of it is extended by its next word, round by round, and
-the prefixes that result are dealt to as many groups as the budget asks for. The subtree of a group is built on its own from
+grouped by a memory budget: a prefix of more suffixes than a share of it is extended by its next word, and that one again,
+and the prefixes that result are dealt to as many groups as the budget asks for. The subtree of a group is built on its own from
 its sorted suffixes; a node's count is the sum of its leaves' totals. Scores, cuts and absorbed phrases are joins on the nodes.
 """
 
@@ -131,19 +131,31 @@ def sorted_runs(columns: list[np.ndarray], weights: np.ndarray | None = None) ->
     return [c[first] for c in ordered], total
 
 
-def _prefix_counts(extended: list[np.ndarray]):
-    """How often each prefix of ``len(extended) + 1`` words occurs, if all its own prefixes are extended ones."""
+def _prefix_counts(depth: int):
+    """How often each prefix of up to ``depth`` words occurs: all of one word, longer ones if they occur twice in a chunk.
+
+    What is left out only makes a group a little larger than its budget; no result depends on it.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, a in _chunks(batches):
             h = _digests(lang, words)
-            row = _following(a, len(extended) + 1)
-            ok, d = row[0] > 0, h[row[0]]
-            for listed, c in zip(extended, row[1:], strict=True):
-                ok &= _among(d, listed) & (c > 0)
-                d = _extend(d, h[c])
-            found, n = np.unique(d[ok], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "prefix", "n"])
+            row = _following(a, depth)
+            n = np.bincount(a, minlength=len(words))
+            found, levels = [h[1:]], [np.ones(len(words) - 1, dtype=np.int32)]
+            counts = [n[1:]]
+            at = np.flatnonzero((a > 0) & (n[a] > 1))
+            d = h[a[at]]
+            for level in range(2, depth + 1):
+                c = row[level - 1][at]
+                d, at = _extend(d[c > 0], h[c[c > 0]]), at[c > 0]
+                prefixes, which, n = np.unique(d, return_inverse=True, return_counts=True)
+                found.append(prefixes[n > 1])
+                counts.append(n[n > 1])
+                levels.append(np.full(len(found[-1]), level, dtype=np.int32))
+                d, at = d[n[which] > 1], at[n[which] > 1]
+            columns = [pa.array(np.concatenate(levels)), pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(counts), pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(columns[0]), pa.string()), *columns], names=["lang", "level", "prefix", "n"])
 
     return run
 
@@ -221,20 +233,14 @@ def phrase_counts(docs: DataFrame, max_words: int, min_count: int, budget: int =
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang"), docs[text].cast("string").alias("text")).filter(F.col("text").isNotNull())
-    counted = written(map_arrow(rows, _prefix_counts([]), "lang string, prefix long, n long").groupBy("lang", "prefix").agg(F.sum("n").alias("n")), "phrases-words")
-    of_lang = written(counted.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-langs")
+    counted = map_arrow(rows, _prefix_counts(max(1, max_words - 1)), "lang string, level int, prefix long, n long")
+    counted = written(counted.groupBy("lang", "level", "prefix").agg(F.sum("n").alias("n")), "phrases-prefixes")
+    of_lang = written(counted.filter("level = 1").groupBy("lang").agg(F.sum("n").alias("n")), "phrases-langs")
     total = of_lang.agg(F.sum("n")).first()[0] or 0
     budget = max(budget, -(-4 * total // EXTENDED))
-    extended: list[np.ndarray] = []
-    while True:
-        # at most total / (budget / 4) <= EXTENDED prefixes of each length
-        heavy = counted.filter(F.col("n") > budget // 4).select("prefix").collect()
-        if not heavy:
-            break
-        extended.append(np.sort(np.array([r["prefix"] for r in heavy], dtype=np.int64).view(np.uint64)))
-        if len(extended) + 1 >= max_words:
-            break
-        counted = map_arrow(rows, _prefix_counts(extended), "lang string, prefix long, n long").groupBy("lang", "prefix").agg(F.sum("n").alias("n"))
+    # at most total / (budget / 4) <= EXTENDED prefixes of each length
+    heavy = counted.filter(F.col("n") > budget // 4).select("level", "prefix").collect()
+    extended = [np.sort(np.array([r["prefix"] for r in heavy if r["level"] == d], dtype=np.int64).view(np.uint64)) for d in range(1, max_words)]
     groups = max(1, -(-2 * total // budget))
     places = ", ".join(f"w{i} binary" for i in range(max_words))
     suffixes = map_arrow(rows, _suffixes(max_words, extended, groups), f"lang string, level int, group int, {places}, counts binary")
