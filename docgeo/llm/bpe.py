@@ -9,6 +9,8 @@ Reads ``tokenizer.json`` files of byte-level BPE (no normaliser, GPT-2 pattern,
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import heapq
 import json
 from array import array
@@ -27,10 +29,10 @@ from docgeo.llm.common import map_arrow, slices
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Distinct words kept encoded in a worker; beyond it the memo starts anew (memory only, results are the same).
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 17
 
 # Bytes of text whose words are merged through one index.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 # A pair with so many positions is merged at all of them by vector operations.
 VECTOR_FROM = 24
@@ -181,6 +183,16 @@ class PairIndexBpe:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, dtype="<u4").tolist())).decode("utf-8", "replace")
 
 
+def give_back_memory() -> None:
+    """Hand what this worker freed in earlier stages back to the system: workers are used again, and keep it else."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        pass
+
+
 def bpe_encode_decode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text and decode its ids again: ``key, token_ids, decoded``.
 
@@ -193,6 +205,7 @@ def bpe_encode_decode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id",
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         bpe = PairIndexBpe(spec.value)
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
