@@ -29,6 +29,7 @@ class Manifest:
     deltas: tuple[int, ...] = ()
     applied: Mapping[str, int] = field(default_factory=dict)  # last batch of each source
     unique: bool = True  # no key of a part that has one row per key is in two deltas
+    buckets: int | None = None  # in how many the table is laid out, from its first write on
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,9 @@ def listed(spark: SparkSession, path: str, pattern: str) -> dict[int, bool]:
 
 class LogTable:
     def __init__(self, spark: SparkSession, root: str, parts: Mapping[str, Part], buckets: int = BUCKETS):
-        self.spark, self.root, self.parts, self.buckets = spark, root.rstrip("/"), dict(parts), buckets
+        """``buckets``: for a table that is not there yet; others keep their own."""
+        self.spark, self.root, self.parts = spark, root.rstrip("/"), dict(parts)
+        self.buckets = self.manifest().buckets or buckets
 
     # ------------------------------------------------------------ manifests
 
@@ -67,13 +70,13 @@ class LogTable:
             return Manifest()
         n = max(numbers)
         text = json.loads(self.spark.read.text(f"{self.root}/manifests/m-{n:09d}").first()[0])
-        return Manifest(n, tuple(text["deltas"]), text["applied"], text["unique"])
+        return Manifest(n, tuple(text["deltas"]), text["applied"], text["unique"], text["buckets"])
 
     def exists(self) -> bool:
         return self.manifest().number >= 0
 
     def _commit(self, m: Manifest) -> Manifest:
-        text = json.dumps({"deltas": list(m.deltas), "applied": dict(m.applied), "unique": m.unique})
+        text = json.dumps({"deltas": list(m.deltas), "applied": dict(m.applied), "unique": m.unique, "buckets": m.buckets})
         self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("errorifexists").text(f"{self.root}/manifests/m-{m.number:09d}")
         return m
 
@@ -90,7 +93,8 @@ class LogTable:
         for name, df in rows.items():
             part = self.parts[name]
             out = df.select(*[F.col(f.name).cast(f.dataType) for f in part.schema]).withColumn("bucket", self.bucket_of(name))
-            out = out.repartition("bucket").sortWithinPartitions("bucket", *part.key)
+            # AQE puts small buckets together and cuts large ones by size: files are neither tiny nor the work of one task
+            out = out.hint("rebalance", "bucket").sortWithinPartitions("bucket", *part.key)
             out.write.mode("errorifexists").partitionBy("bucket").parquet(f"{self.root}/{name}/delta={delta}")
 
     def _next_delta(self) -> int:
@@ -104,7 +108,7 @@ class LogTable:
         delta = self._next_delta()
         self._write(delta, rows)
         applied = {**m.applied, **({source: batch} if source is not None else {})}
-        return self._commit(Manifest(m.number + 1, (*m.deltas, delta), applied, m.unique and unique))
+        return self._commit(Manifest(m.number + 1, (*m.deltas, delta), applied, m.unique and unique, self.buckets))
 
     def read(self, part: str, manifest: Manifest | None = None) -> DataFrame:
         """All rows of the live deltas with ``delta`` and ``bucket``; a filter on ``bucket`` prunes files."""
@@ -125,7 +129,7 @@ class LogTable:
             return m
         delta = self._next_delta()
         self._write(delta, {part: merge(part, self.read(part, m)) for part in self.parts})
-        return self._commit(Manifest(m.number + 1, (delta,), m.applied, True))
+        return self._commit(Manifest(m.number + 1, (delta,), m.applied, True, self.buckets))
 
     def vacuum(self) -> list[str]:
         """Delete deltas that the newest manifest doesn't list, and older manifests. Nothing may be reading those."""

@@ -52,6 +52,8 @@ def test_log_of_several_parts(spark, tmpdir_path):
     assert log.manifest().deltas == (0, 1, 3)
     log.compact(lambda part, df: df)
     assert log.read("a").count() == 21 and log.read("b").count() == 4 and log.is_applied("s", 1)
+    other = LogTable(spark, tmpdir_path, parts, buckets=9)  # opened with another number: the table's own holds
+    assert other.buckets == 4 and rows(other.read("a").where((F.col("bucket") == other.bucket_of("a", F.lit(7).cast("long"))) & (F.col("k") == 7)).select("v")) == [("v7",)]
     gone = log.vacuum()
     assert any("delta=2" in p for p in gone) and log.read("a").count() == 21 and log.vacuum() == []
 
