@@ -62,6 +62,45 @@ def plan(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     return own + probes
 
 
+def rest_plan(length: int, target: int, edits: int) -> list[tuple[int, int, int]]:
+    """(start, end, segment) of the places in a string where a segment of one of ``target`` characters could stand."""
+    gap, out = length - target, []
+    for i, (s, size) in enumerate(segments(target, edits)):
+        rest = edits - i
+        out += [(at, at + size, i) for at in range(max(0, s - i, s + gap - rest), min(length - size, s + i, s + gap + rest) + 1)]
+    return out
+
+
+def _finer(edits: int):
+    """``key, finer, line, probe`` of rows ``key, line, text, probe``: what is left of the lines without the segment that they
+    share is cut into segments again, so that those who share one more meet. Two lines within ``edits`` edits do, as the rests
+    on both sides of the segment that stayed whole are within them too. Rests too short for segments keep the key."""
+    n = edits + 1
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, mask = xxhash.xxh64_intdigest, (1 << 64) - 1
+        for batch in batches:
+            for part in slices(batch, "text"):
+                out = []
+                for key, line, text, probe in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    code, found = key & mask, set()
+                    for s, e, seed, is_probe in plan(len(text), edits):
+                        if is_probe != probe or digest(text[s:e], seed) != code:
+                            continue
+                        target, rest = seed // n - (e - s), text[:s] + text[e:]
+                        if target < n:
+                            found.add((key, probe))
+                            continue
+                        for a, b, i in rest_plan(len(rest), target, edits):
+                            own = not probe and (a, b - a) == segments(target, edits)[i]
+                            found.add((digest(rest[a:b], (code * 31 + seed * n + i) & mask), 0 if own else 1))
+                    out += [(key, f - (f >> 63 << 64), line, p) for f, p in found]
+                columns = [pa.array([r[c] for r in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "finer", "line", "probe"])
+
+    return run
+
+
 def _post(edits: int, min_chars: int, max_chars: int | None = None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, plans, seen = xxhash.xxh64_intdigest, {}, set()
@@ -288,12 +327,36 @@ def line_links(docs: DataFrame, edits: int, min_chars: int, text: str = "text",
     # the wanted lines grow with the corpus, so they are never broadcast
     # copies of a line are put together in every task before any text is shuffled
     texts = lines.withColumn("line", F.xxhash64("text")).groupBy("line").agg(F.min("text").alias("text")).join(wanted.hint("merge"), "line")
-    grid = cells(met, ["key"], "line", CELL, "lines-crowded").join(texts, "line")
+    texts = written(texts, "lines-texts")
+    grid = cells(less_crowded(met, texts, edits), ["key"], "line", CELL, "lines-crowded").join(texts, "line")
     cell = ["key", "low", "high"]
     rows = grid.repartition(*cell).sortWithinPartitions(*cell).select(*cell, "line", "text", "probe", "side")
     return map_arrow(rows, _verify(edits), "a long, b long")
 
 
+def less_crowded(met: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """``key, line, probe`` that bring the same pairs together as ``met`` in fewer comparisons.
+
+    A group of n lines beyond a cell's size costs about n * n / CELL rows. Its lines are posted once more, under the shared
+    segment and another one; where that costs less in all, those groups take the place of the crowded one.
+    """
+    size = lambda n: F.sum(n * F.ceil(n / CELL)).alias("cost")
+    crowded = met.groupBy("key").count().filter(F.col("count") > CELL)
+    crowded = written(crowded.groupBy("key").agg(size(F.col("count"))), "lines-many")
+    if crowded.isEmpty():
+        return met
+    again = met.join(crowded.select("key"), "key").join(texts, "line").select("key", "line", "text", "probe")
+    finer = written(map_arrow(again, _finer(edits), "key long, finer long, line long, probe long"), "lines-finer")
+    groups = finer.groupBy("key", "finer").agg(F.count("*").alias("n"), F.min("probe").alias("least"))
+    meeting = written(groups.filter((F.col("n") > 1) & (F.col("least") == 0)), "lines-finer-groups")
+    costs = meeting.groupBy("key").agg(size(F.col("n"))).withColumnRenamed("cost", "finer_cost")
+    better = crowded.join(costs, "key", "left").filter(F.coalesce("finer_cost", F.lit(0)) < F.col("cost")).select("key")
+    better = written(better, "lines-better")
+    taken = finer.join(better, "key").join(meeting.select("key", "finer"), ["key", "finer"])
+    taken = taken.select(F.xxhash64("key", "finer").alias("key"), "line", "probe")
+    return met.join(better, "key", "left_anti").select("key", "line", "probe").unionByName(taken)
+
+
 def line_occurrences(docs: DataFrame, min_chars: int, key: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """``key, line_no, line`` (number of the text) of the lines that take part; with ``short`` all that are not blank."""
     lines = docs.filter(docs[key].isNotNull()).select(docs[key].alias(key), F.posexplode(F.split(docs[text].cast("string"), "\n")).alias("line_no", "text"))

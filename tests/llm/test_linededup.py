@@ -71,9 +71,9 @@ def brute(docs, edits, least, fewer=()):
     return sorted((d, i, *first[root(x)], (d, i) == first[root(x)]) for d, i, x in lines)
 
 
-@pytest.mark.parametrize(("edits", "cell"), [(1, 256), (2, 256), (1, 4)])
+@pytest.mark.parametrize(("edits", "cell"), [(1, 256), (2, 256), (1, 4), (2, 4), (2, 2)])
 def test_classes_against_brute_force(spark, monkeypatch, edits, cell):
-    monkeypatch.setattr(L, "CELL", cell)
+    monkeypatch.setattr(L, "CELL", cell)  # 4: nearly all segments are crowded ones
     monkeypatch.setattr(L, "BLOCK_BYTES", 500)
     rnd = random.Random(3)
     lines = []
@@ -137,5 +137,57 @@ def test_query_over_all_lines(spark):
     assert sorted(tuple(r) for r in got) == brute(rows, 2, 16, ((8, 1),))
 
 
+def crowd(n, seed):
+    """Distinct lines that share their first third, and otherwise words at random; some pairs an edit or two apart."""
+    rnd = random.Random(seed)
+    tail = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(40))
+    lines = ["all of these begin a " + tail() for _ in range(n)]
+    return lines + [x[:21] + mutated(rnd, x[21:], 2) for x in lines[: n // 10]]
+
+
+def test_a_crowded_segment_makes_few_rows(spark, monkeypatch):
+    """Rows to be compared grow with the lines that share a segment, not with their square."""
+    made = {}
+
+    def counted(rows, key, item, limit, name, f=L.cells):
+        out = f(rows, key, item, limit, name)
+        if name == "lines-crowded":
+            made[n] = out.count()
+        return out
+
+    monkeypatch.setattr(L, "cells", counted)
+    for n in (3000, 12000):
+        lines = crowd(n, n)
+        docs = spark.createDataFrame([(i, "\n".join(lines[i::50])) for i in range(50)], "doc_id long, text string")
+        out = L.line_classes(docs).collect()
+        assert sum(not r["kept"] for r in out) >= n // 10 - 1
+    assert made[12000] < 5 * made[3000] and made[12000] < 20 * 12000
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_pairs_under_a_crowded_segment_meet_again(edits):
+    """Without Spark: two lines that meet under a key and are within the edits meet under a finer key too."""
+    rnd = random.Random(edits)
+    met = 0
+    for _ in range(300):
+        a = "".join(rnd.choice("ab") for _ in range(rnd.randrange(3 * edits + 6, 40)))
+        b = mutated(rnd, a, rnd.randrange(0, edits + 1))
+        if len(b) <= edits or distance(a, b) > edits:
+            continue
+        rows = []
+        for line, text in enumerate((a, b)):
+            for s, e, seed, probe in L.plan(len(text), edits):
+                rows.append((L.xxhash.xxh64_intdigest(text[s:e], seed), line, text, probe))
+        rows = [(k - (k >> 63 << 64), line, t, p) for k, line, t, p in sorted(set(rows))]
+        batch = L.pa.RecordBatch.from_arrays([L.pa.array(c) for c in zip(*rows)], names=["key", "line", "text", "probe"])
+        fine = [r for out in L._finer(edits)([batch]) for r in zip(*(c.to_pylist() for c in out.columns))]
+        groups = {}
+        for key, finer, line, probe in fine:
+            groups.setdefault((key, finer), set()).add((line, probe))
+        met += 1
+        assert any({x for x, _ in g} == {0, 1} and any(p == 0 for _, p in g) for g in groups.values()), (a, b)
+    assert met > 100
+
+
 def test_array_positions():
     assert np.array_equal([s for s, _ in L.segments(11, 2)], [0, 3, 7])
