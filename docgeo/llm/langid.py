@@ -124,7 +124,8 @@ def identify(rows: DataFrame, model: np.ndarray, keys: list[str], text: str = "t
     where there is none, which says nothing either way). ``lang`` is the class of the largest posterior (ties: the first
     in ``languages``, ``und`` last), ``confidence`` that posterior. A row is accepted if the class is a language and its
     confidence reaches ``min_confidence``. A null text or one without letters is ``und`` with confidence 1 and not
-    accepted. Repeated rows give repeated results and count as evidence each time.
+    accepted. Repeated rows give repeated results and count as evidence each time. Texts are read whole, whatever their
+    length; an empty table gives no rows.
     """
     classes = [*languages, UNDETERMINED]
     scored = text_scores(rows.select(*keys, text, "declared", "suffix", "host", "domain"), model, text)

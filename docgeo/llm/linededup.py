@@ -378,7 +378,8 @@ def line_classes(
     Lines are split at line feeds and numbered from 0. Lines within ``edits`` (character insertions, deletions and
     substitutions) of each other are linked; a class holds what links reach. ``first_*`` is the class's first occurrence in
     order of (key, line_no), and only that one is ``kept``. Other lines, and rows whose key or text is null, have no
-    result. Repeated rows repeat their lines, and all copies of the first occurrence are kept. Identical lines are one
+    result. Repeated rows repeat their lines, and all copies of the first occurrence are kept. Lines of any length are compared
+    whole; an empty table gives no rows. Identical lines are one
     number (64-bit hash) from the start, so copies cost nothing in the join.
     """
     if min_chars <= edits:

@@ -170,7 +170,7 @@ def sample(rows: DataFrame, key: Column, mix: Mix) -> DataFrame:
 
     ``rows`` has ``source, lang, topic, tokens``. A row is sampled if a number made from ``key`` alone falls below its
     probability, so the choice is the same in any run, order or partitioning, and repeated rows go together. Rows without
-    tokens have weight 0 and are not sampled.
+    tokens have weight 0 and are not sampled. A very long text weighs by its tokens; an empty table gives no rows.
     """
     rows = written(rows, "mixing-rows")
     done = fit(rows, mix)

@@ -115,7 +115,8 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: lis
 
     ``base_failed``: fewer than 20 words, or over 30 % of the words repeated. ``kept`` is false for those and for rows that
     a rule rejects; ``rejected_by`` names ``base`` or the first rule of the cascade that did. Rows with a null or empty text
-    have no words and fail. Repeated rows and null keys give one row each; other columns are not read.
+    have no words and fail. Repeated rows and null keys give one row each; other columns are not read. Texts are read whole, in
+    n log n steps; an empty table gives no rows.
     """
     rules = default_rules() if rules is None else rules
     rows = docs.select(docs[key].alias(key), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))

@@ -225,6 +225,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Offsets are code points of the whole text, ends exclusive. Kinds: ``assign``, ``access``, ``hex`` (fixed patterns), and
     ``random`` (the battery's finds that overlap no other span). A null or empty text has no spans. Repeated rows and null
     keys give one row each; other columns are not read. What is kept between the two passes is the spans and symbol counts.
+    Texts are read whole, whatever their length; an empty table gives no rows.
     """
     rows = docs.select(docs[key].alias(key), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
     t = F.col("text")

@@ -190,7 +190,8 @@ def simhash_classes(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks:
 
     Words are runs of non-space (ASCII) after lower-casing A-Z. Null, empty and blank texts have the fingerprint zero and
     link like any other. Rows with a null key get their component too; ``component_id`` is null only if no row of the
-    component has a key. Repeated rows give repeated results. Other columns are not read. Copies meet as one fingerprint
+    component has a key. Repeated rows give repeated results. Texts are read whole, whatever their length; an empty table gives
+    no rows. Other columns are not read. Copies meet as one fingerprint
     (grouped minimum) before any search.
     """
     coded = written(fingerprints(docs, shingle, key, text), "simhash-codes")

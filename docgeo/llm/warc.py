@@ -207,7 +207,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     Digest (base32 SHA-1) and size are of the full payload: computed from the bytes read, or for revisits as their headers
     give them. Files are split by Spark wherever it likes. Records after a broken length, and what only looks like a record,
     are left out; a record that the end of the file cuts short has a null digest. Only headers are kept between the steps;
-    a payload that holds the magic is put together in a second reading of the splits it touches.
+    a payload that holds the magic is put together in a second reading of the splits it touches. A record is in memory once, as
+    are the bytes of a split; a folder without records gives no rows.
     """
     found = written(map_arrow(_raw(spark, path), _candidates, _FOUND), "warc-candidates")
     splits = found.filter("total IS NOT NULL").select("file", "split", "total")
