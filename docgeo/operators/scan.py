@@ -1,8 +1,8 @@
 """One scan of the texts for everything that is looked up in them: language profile words and lexicon names.
 
-A text is tokenised once. Its tokens meet a first-token index: the lower-case first tokens of all lexicon names, with the
-lengths that names starting so have, and the profile words with their languages. Only tokens in the index go on, and only
-n-grams of a length that occurs are built and looked up.
+A text is tokenised once. Profile words are counted in the row of their text. Its token runs meet a filter of fixed size, a
+bit per hash of a name, whatever the size of the lexicon; only runs that pass it (all names, and others by chance) leave
+their task to meet the lexicon itself, and only runs of a length that occurs are built.
 """
 
 from __future__ import annotations
@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from docgeo.functions.text import WORD_PATTERN, tokens
 
+# Bits of the filter of names: a megabyte. More names make it let through more that is none; nothing is ever missed.
+FILTER_BITS = 1 << 23
+
+FOUND = "array<struct<code:string,n:bigint,pos:int,len:int,gram:string>>"
 HIT_COLUMNS = ["doc_id", "code", "n", "lang", "pos", "len", "token", "lemma", "entity_type"]
 
 
@@ -22,7 +26,7 @@ def prepare_lexicon(lexicon: DataFrame, pattern: str = WORD_PATTERN) -> DataFram
         "lang",
         F.array_join(toks, " ").alias("gram"),
         F.size(toks).alias("len"),
-        F.lower(F.element_at(toks, 1)).alias("first"),
+        F.element_at(toks, 1).alias("first"),
         "lemma",
         "entity_type",
     ).where(F.col("len") > 0)
@@ -34,37 +38,62 @@ def longest_entry(lexicon: DataFrame, pattern: str = WORD_PATTERN) -> int:
     return int(row[0] or 1)
 
 
-def first_token_index(prepared: DataFrame, profile: DataFrame | None) -> DataFrame:
-    """(word, len, code): lengths of the names that start with a word, and languages whose profile lists it.
+def _slot(*values: Column) -> Column:
+    return F.pmod(F.xxhash64(*values), F.lit(FILTER_BITS))
 
-    One row per distinct first token and length, so it is much shorter than the lexicon.
-    """
-    starts = prepared.select(F.col("first").alias("word"), "len", F.lit(None).cast("string").alias("code")).distinct()
-    if profile is None:
-        return starts
-    listed = profile.select("word", F.lit(None).cast("int").alias("len"), F.col("lang").alias("code")).distinct()
-    return starts.unionByName(listed)
 
+def name_filter(prepared: DataFrame) -> DataFrame:
+    """One row with ``bits``, an array of ``FILTER_BITS`` / 64 numbers: a bit is set for the hash of every name, and one for
+    its first token and length, so that runs that cannot be a name are not even built."""
+    slots = prepared.select(F.explode(F.array(_slot(F.col("gram")), _slot(F.col("first"), F.col("len")))).alias("slot"))
+    words = slots.select(F.expr("slot div 64").alias("at"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bits"))
+    empty = prepared.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits"))
+    full = empty.unionByName(words).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    return full.agg(F.array_sort(F.collect_list(F.struct("at", "bits"))).alias("a")).select(F.col("a.bits").alias("bits"))
+
+
+def _gram(n: int) -> Column:
+    """The ``n`` tokens from here on, joined by blanks; NULL where the text has fewer."""
+    if n == 1:
+        return F.col("z.t0")
+    return F.concat(F.col("z.t0"), *[c for k in range(1, n) for c in (F.lit(" "), F.col(f"z.t{k}"))])
+
+
+def _profile_tokens(profile: DataFrame) -> dict[str, list[str]]:
+    """Words by language; the profile is short by nature (some dozens of words a language)."""
+    words: dict[str, list[str]] = {}
+    for r in profile.select("lang", "word").where("lang is not null and word is not null").distinct().collect():
+        words.setdefault(r["lang"], []).append(r["word"])
+    return words
+
+
+def _counted(toks: Column, words: dict[str, list[str]]) -> Column:
+    """Rows of ``text_hits`` with the counts of a text, from its tokens in lower case that any language lists."""
+
+    def number(listed: list[str]) -> Column:
+        return F.size(F.filter(toks, lambda t: t.isin(listed))).cast("long")
 
-def _gram(max_n: int) -> Column:
-    """The ``len`` tokens from here on, joined by blanks; NULL where the text has fewer."""
-    out = F.when(F.col("len") == 1, F.col("z.t0"))
-    for n in range(2, max_n + 1):
-        # concat is NULL if a token is missing
-        parts = [F.col("z.t0")] + [c for k in range(1, n) for c in (F.lit(" "), F.col(f"z.t{k}"))]
-        out = out.when(F.col("len") == n, F.concat(*parts))
-    return out
+    nothing = F.lit(None).cast("int")
+    # counts have no name: a key that no name has (it starts with a blank) spreads such rows over a join's tasks
+    key = F.concat(F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    rows = [F.struct(F.lit(c).alias("code"), number(words[c]).alias("n"), nothing.alias("pos"), nothing.alias("len"), key.alias("gram")) for c in sorted(words)]
+    return F.filter(F.array(*rows), lambda r: r["n"] > 0)
 
 
-def token_windows(docs: DataFrame, max_n: int, pattern: str = WORD_PATTERN) -> DataFrame:
-    """(doc_id, pos, z): one row per token with the ``max_n`` tokens from there on as z.t0, z.t1, ...
+def token_windows(docs: DataFrame, max_n: int, pattern: str = WORD_PATTERN, words: dict[str, list[str]] | None = None) -> DataFrame:
+    """(doc_id, counted, pos, z): one row per token with the ``max_n`` tokens from there on as z.t0, z.t1, ..., and the
+    profile words of the whole text in ``counted`` (``_counted``).
 
     The token array is zipped with its shifted copies and exploded; rows stay in the scan's partitions.
     """
-    toks = F.col("toks")
+    toks, words = F.col("toks"), words or {}
     shifted = [F.slice(toks, k + 1, F.greatest(F.size(toks) - k, F.lit(0))).alias(f"t{k}") for k in range(max_n)]
-    z = docs.select("doc_id", tokens("text", pattern).alias("toks")).select("doc_id", *shifted)
-    return z.select("doc_id", F.posexplode(F.arrays_zip(*[F.col(f"t{k}") for k in range(max_n)])).alias("pos", "z"))
+    listed = sorted({w for some in words.values() for w in some})
+    low = F.transform(F.filter(toks, lambda t: F.lower(t).isin(listed)), F.lower) if words else toks
+    counted = _counted(F.col("low"), words) if words else F.array().cast(FOUND)
+    z = docs.select("doc_id", tokens("text", pattern).alias("toks")).select("doc_id", "toks", low.alias("low"))
+    z = z.select("doc_id", counted.alias("counted"), *shifted)
+    return z.select("doc_id", "counted", F.posexplode(F.arrays_zip(*[F.col(f"t{k}") for k in range(max_n)])).alias("pos", "z"))
 
 
 def text_hits(
@@ -79,27 +108,39 @@ def text_hits(
     * lexicon hits: every run of tokens that is a name, for every language that lists it (``code`` is NULL);
     * with a ``profile``, per document and language ``code`` the number ``n`` of tokens that are profile words.
 
-    Profile words are counted per task before anything is shuffled. A text without hits, an empty or a NULL one has no row.
+    Of a text, nothing but its counts and the runs that pass the filter of names is shuffled. A text without hits, an empty
+    or a NULL one has no row.
     """
     if max_n is None:
         max_n = longest_entry(lexicon, pattern)
     lex = prepare_lexicon(lexicon, pattern)
-    index = first_token_index(lex, profile)
-    # a profile word has no n-gram: a key that no name has (it starts with a blank) spreads such rows over a join's tasks
-    other = F.when(F.col("code").isNotNull(), F.concat(F.lit(" "), F.col("pos").cast("string")))
-    found = (
-        token_windows(docs, max_n, pattern)
-        .join(index, F.lower(F.col("z.t0")) == F.col("word"))
-        .select("doc_id", "code", "pos", "len", F.coalesce(_gram(max_n), other).alias("gram"))
-        .where(F.col("gram").isNotNull())
-    )
+    bits = name_filter(lex).scalar()
+    windows = token_windows(docs, max_n, pattern, None if profile is None else _profile_tokens(profile))
+
+    def may_be(*values: Column) -> Column:
+        slot = _slot(*values)
+        return F.getbit(F.get(bits, F.shiftright(slot, 6).cast("int")), (slot % 64).cast("int")) == 1
+
+    def passes(n: int) -> Column:
+        return may_be(_gram(1)) if n == 1 else F.col(f"z.t{n - 1}").isNotNull() & may_be(F.col("z.t0"), F.lit(n)) & may_be(_gram(n))
+
+    def run(n: int) -> Column:
+        return F.when(passes(n), F.struct(F.lit(None).cast("string").alias("code"), F.lit(1).cast("long").alias("n"), "pos", F.lit(n).alias("len"), _gram(n).alias("gram")))
+
+    first = (F.col("pos") == 0) & (F.size("counted") > 0)
+    anything, rows = first, F.array(*[run(n) for n in range(1, max_n + 1)])
+    for n in range(1, max_n + 1):
+        anything = anything | passes(n)
+    if profile is not None:
+        rows = F.concat(rows, F.when(first, F.col("counted")).otherwise(F.array().cast(FOUND)))
+    found = windows.where(anything).select("doc_id", F.explode(rows).alias("x")).where(F.col("x").isNotNull()).select("doc_id", "x.*")
     named = lex.select("gram", "len", "lang", "lemma", "entity_type")
     if profile is None:
-        return found.join(named, ["gram", "len"]).select(*[F.lit(1).cast("long").alias("n") if c == "n" else F.col("gram").alias(c) if c == "token" else F.col(c) for c in HIT_COLUMNS])
+        return found.join(named, ["gram", "len"]).select(*[F.col("gram").alias(c) if c == "token" else F.col(c) for c in HIT_COLUMNS])
     hits = found.join(named, ["gram", "len"], "left").where(F.col("code").isNotNull() | F.col("lang").isNotNull())
-    of_name = lambda c, name: F.when(F.col("code").isNull(), F.col(c)).alias(name)
-    hits = hits.select("doc_id", "code", "lang", of_name("pos", "pos"), "len", of_name("gram", "token"), "lemma", "entity_type")
-    return hits.groupBy(*hits.columns).agg(F.count(F.lit(1)).alias("n")).select(*HIT_COLUMNS)
+    # rows of one name lie together after the join: equal ones (of a document that is there twice, say) are put together there
+    hits = hits.groupBy("doc_id", "code", "lang", "pos", "len", "gram", "lemma", "entity_type").agg(F.sum("n").alias("n"))
+    return hits.withColumn("token", F.when(F.col("code").isNull(), F.col("gram"))).select(*HIT_COLUMNS)
 
 
 def profile_counts(hits: DataFrame) -> DataFrame:
