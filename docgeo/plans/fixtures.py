@@ -20,7 +20,8 @@ from docgeo.session import checkpoint_root
 from docgeo.sources.corpus import dealt_out
 
 CANDIDATE_PATTERN = r"\p{Lu}\p{Ll}{3,}"
-PAIR_PATTERN = r"^\p{Lu}\p{Ll}{3,} \p{Lu}\p{Ll}{3,}$"
+# In tokens joined by blanks: group 1 is a pair, the match its first letter alone, so that pairs may overlap.
+PAIR_PATTERN = r"(?<![^ ])(?=(\p{Lu}\p{Ll}{3,} \p{Lu}\p{Ll}{3,})(?![^ ]))\p{Lu}"
 LANGS = ["de", "en", "es", "fr"]
 
 # Stop-word profile of the rule-based language detector (our own choice, about twenty frequent function words
@@ -79,35 +80,30 @@ def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Distinct (doc_id, lang, w) for capitalised words of four or more letters."""
-    return (
-        docs.select("doc_id", "lang", F.explode(F.regexp_extract_all("text", F.lit(CANDIDATE_PATTERN), 0)).alias("w"))
-        .distinct()
-    )
+    """(doc_id, lang, w) for every capitalised word of four or more letters."""
+    return docs.select("doc_id", "lang", F.explode(F.regexp_extract_all("text", F.lit(CANDIDATE_PATTERN), 0)).alias("w"))
 
 
 def adjacent_pairs(docs: DataFrame) -> DataFrame:
-    """Distinct (doc_id, lang, w) for two adjacent word tokens that are both capitalised candidates."""
-    toks = F.col("toks")
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(toks) - 1, F.lit(1))),
-        lambda i: F.concat(toks[i - 1], F.lit(" "), toks[i]),
-    )
-    return (
-        docs.select("doc_id", "lang", F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0).alias("toks"))
-        .select("doc_id", "lang", F.explode(F.when(F.size(toks) >= 2, pairs)).alias("w"))
-        .where(F.col("w").rlike(PAIR_PATTERN))
-        .distinct()
-    )
+    """(doc_id, lang, w) for every two adjacent word tokens that are both capitalised candidates."""
+    toks = F.array_join(F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0), " ")
+    return docs.select("doc_id", "lang", F.explode(F.regexp_extract_all(toks, F.lit(PAIR_PATTERN), 1)).alias("w"))
+
 
+def _names(docs: DataFrame) -> DataFrame:
+    """(n_tokens, w, lang): words and pairs found in two documents at least, with every language they are found in.
 
-def _in_two_docs(c: DataFrame) -> DataFrame:
-    return c.groupBy("w").agg(F.countDistinct("doc_id").alias("n")).where("n >= 2").select("w")
+    What travels is one row per name, language and task, whatever the number of documents: two of them are told by the
+    smallest and the largest id.
+    """
+    found = candidates(docs).withColumn("n_tokens", F.lit(1)).unionByName(adjacent_pairs(docs).withColumn("n_tokens", F.lit(2)))
+    span = [F.min("low").alias("low"), F.max("high").alias("high")]
+    by_lang = found.groupBy("n_tokens", "w", "lang").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    names = by_lang.groupBy("n_tokens", "w").agg(*span, F.collect_list(F.struct("lang")).alias("langs"))
+    return names.where("low < high").select("n_tokens", "w", F.explode("langs.lang").alias("lang"))
 
 
-def _lexicon(docs: DataFrame) -> DataFrame:
-    single = candidates(docs).join(_in_two_docs(candidates(docs)), "w", "left_semi").select("lang", "w")
-    pair = adjacent_pairs(docs).join(_in_two_docs(adjacent_pairs(docs)), "w", "left_semi").select("lang", "w")
+def _lexicon(names: DataFrame) -> DataFrame:
     s = F.col("surface")
     variant = h(s, 12, 20)
     lemma = (
@@ -121,13 +117,7 @@ def _lexicon(docs: DataFrame) -> DataFrame:
         .otherwise(s)
     )
     etype = F.when(h(s, 10, 10) == 0, "PER").when(h(s, 14, 2) == 0, "LOC").otherwise("GPE")
-    return (
-        single.withColumn("n_tokens", F.lit(1))
-        .unionByName(pair.withColumn("n_tokens", F.lit(2)))
-        .distinct()
-        .withColumnRenamed("w", "surface")
-        .select("lang", "surface", lemma.alias("lemma"), etype.alias("entity_type"), "n_tokens")
-    )
+    return names.withColumnRenamed("w", "surface").select("lang", "surface", lemma.alias("lemma"), etype.alias("entity_type"), "n_tokens")
 
 
 def _multilingual_lexicon(lex: DataFrame) -> DataFrame:
@@ -141,11 +131,7 @@ def _multilingual_lexicon(lex: DataFrame) -> DataFrame:
     return lex.unionByName(shared).dropDuplicates(["lang", "surface"])
 
 
-def _place_names(docs: DataFrame) -> DataFrame:
-    return _in_two_docs(candidates(docs)).unionByName(_in_two_docs(adjacent_pairs(docs))).distinct()
-
-
-def _gazetteer(docs: DataFrame) -> DataFrame:
+def _gazetteer(names: DataFrame) -> DataFrame:
     w = F.col("w")
     grid = h(w, 22, 2) == 0
     lat = F.when(grid, (h(w, 1, 12) * 10 - 60).cast("double") + 0.37).otherwise(h(w, 1, 120000).cast("double") / 1000.0 - 60.0)
@@ -158,7 +144,7 @@ def _gazetteer(docs: DataFrame) -> DataFrame:
     typ = F.when(h(w, 18, 4) == 0, "fuel").when(h(w, 18, 4) == 1, "city").when(h(w, 18, 4) == 2, "river").otherwise("village")
     importance = F.when(h(w, 2, 50) == 0, F.lit(None).cast("double")).otherwise(h(w, 11, 1000).cast("double") / 1000.0)
     base = (
-        _place_names(docs)
+        names.select("w").distinct()
         .where(h(w, 25, 10) < 9)
         .select(
             w.alias("query"), lat.alias("lat"), lon.alias("lon"), F.substring(F.md5(w), 1, 8).alias("place_id"),
@@ -231,14 +217,18 @@ class Fixtures:
         path = F.concat(F.lit(f"{IMPORT_DIR}/"), F.col("source"), F.lit("/report "), F.col("doc_id").cast("string"), F.lit(".txt"))
         return self.documents().select("doc_id", "lang", "text", path.alias("file_name"))
 
+    def names(self) -> DataFrame:
+        """Names found in two documents at least, by language: the texts are read once for all tables derived from them."""
+        return _materialize(self.spark, self.sf_dir, "names", lambda: _names(self.documents()))
+
     def lexicon(self) -> DataFrame:
-        return _materialize(self.spark, self.sf_dir, "lexicon", lambda: _lexicon(self.documents()))
+        return _materialize(self.spark, self.sf_dir, "lexicon", lambda: _lexicon(self.names()))
 
     def multilingual_lexicon(self) -> DataFrame:
         return _materialize(self.spark, self.sf_dir, "lexicon_multi", lambda: _multilingual_lexicon(self.lexicon()))
 
     def gazetteer(self) -> DataFrame:
-        return _materialize(self.spark, self.sf_dir, "gazetteer", lambda: _gazetteer(self.documents()))
+        return _materialize(self.spark, self.sf_dir, "gazetteer", lambda: _gazetteer(self.names()))
 
     def starting_cache(self) -> DataFrame:
         return self.gazetteer().where(h("query", 4, 2) == 0)
