@@ -22,6 +22,10 @@ from docgeo.session import ship_package
 # Fixed values of the workflow: largest k tried, required gain of between-SS to accept one more cluster.
 MAX_K = 5
 GAIN = 1.15
+# Documents with at most so many distinct distances are clustered together, so many cells of their tables at a time.
+MANY = 64
+CELLS = 1 << 18
+
 DISTANCE_DECIMALS = 6  # distances are compared after rounding to 1 mm, so engines agree on distinctness
 
 
@@ -104,14 +108,55 @@ def choose_cut(d: np.ndarray, m: np.ndarray, max_k: int = MAX_K, gain: float = G
     return float(d[b - 1])
 
 
+def choose_cuts(d: np.ndarray, m: np.ndarray, max_k: int = MAX_K, gain: float = GAIN) -> np.ndarray:
+    """``choose_cut`` of many documents at once that have the same number of distinct distances (one per row)."""
+    g, n = d.shape
+    if n <= 2:
+        return np.full(g, np.inf)
+    n_rows = m.sum(axis=1)
+    kmax = np.maximum(2, np.minimum(np.minimum(max_k, n_rows.astype(int) - 1), n))
+    x = d - ((m * d).sum(axis=1) / n_rows)[:, None]
+    zero = np.zeros((g, 1))
+    M = np.concatenate([zero, np.cumsum(m, axis=1)], axis=1)
+    S = np.concatenate([zero, np.cumsum(m * x, axis=1)], axis=1)
+    later = np.arange(n + 1)[:, None] < np.arange(n + 1)  # [a, b]: the last cluster holds the distances a to b - 1
+    weight = np.where(later, M[:, None, :] - M[:, :, None], 1.0)
+    cost = np.where(later, (S[:, None, :] - S[:, :, None]) ** 2 / weight, -np.inf)
+    best, args = cost[:, 0, :], {}
+    total, k, going = S[:, n] ** 2 / M[:, n], np.full(g, 2), n_rows > 3
+    chosen = None
+    for kk in range(2, int(kmax.max()) + 1):
+        vals = best[:, :, None] + cost
+        args[kk] = vals.argmax(axis=1)
+        best = np.take_along_axis(vals, args[kk][:, None, :], axis=1)[:, 0, :]
+        between = best[:, n] - total
+        if chosen is None:
+            chosen = between
+            continue
+        going &= (kk <= kmax) & ~(between < gain * chosen)
+        k, chosen = np.where(going, kk, k), np.where(going, between, chosen)
+    end, rows = np.full(g, n), np.arange(g)
+    for kk in range(int(k.max()), 1, -1):
+        end = np.where(kk <= k, args[kk][rows, end], end)
+    return d[rows, end - 1]
+
+
 def _cuts_of(pdf: pd.DataFrame, max_k: int, gain: float) -> pd.DataFrame:
-    """Cut per document for rows sorted by (doc_id, distance_km)."""
+    """Cut per document for rows sorted by (doc_id, distance_km): documents with few distinct distances by their number."""
     doc = pdf["doc_id"].to_numpy()
     d = pdf["distance_km"].to_numpy(float)
     m = pdf["m"].to_numpy(float)
-    bounds = (np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist()
-    starts, ends = [0] + bounds, bounds + [len(doc)]
-    cuts = [choose_cut(d[a:b], m[a:b], max_k, gain) for a, b in zip(starts, ends)]
+    starts = np.concatenate([[0], np.flatnonzero(doc[1:] != doc[:-1]) + 1])
+    sizes = np.diff(np.append(starts, len(doc)))
+    cuts = np.empty(len(starts))
+    for n in np.unique(sizes):
+        which = np.flatnonzero(sizes == n)
+        if n > MANY:
+            cuts[which] = [choose_cut(d[a : a + n], m[a : a + n], max_k, gain) for a in starts[which]]
+            continue
+        for part in np.array_split(which, -(-len(which) * (n + 1) ** 2 // CELLS)):
+            at = starts[part][:, None] + np.arange(n)
+            cuts[part] = choose_cuts(d[at], m[at], max_k, gain)
     return pd.DataFrame({"doc_id": doc[starts], "cut": cuts})
 
 
