@@ -53,7 +53,8 @@ def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:
     size, reach = max(BLOCK, max_n), max(1, max_n)
     rest = [c for c in candidates.columns if c not in (*KEY, "pos", "len", "lemma", "entity_type")]
     span = F.struct("pos", (-F.col("len")).alias("back"), "lemma", "entity_type", *rest)
-    block = F.floor(F.col("pos") / size).cast("int").alias("block")
+    # never NULL: a join on it adds no filter, so that both branches below read the same shuffle
+    block = F.coalesce(F.floor(F.col("pos") / size).cast("int"), F.lit(0)).alias("block")
     blocks = candidates.groupBy(*KEY, block).agg(F.sort_array(F.collect_list(span)).alias("spans"))
     spans, start = F.col("spans"), F.col("block") * F.lit(size)
     edge = start + size

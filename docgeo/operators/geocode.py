@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from docgeo.functions.text import strip_braces
 from docgeo.schemas import DOC_GEO_COLUMNS, LOCATION_CACHE_COLUMNS, LOCATION_CACHE_SCHEMA, PLACE_COLUMNS
-from docgeo.session import cut_lineage, ship_package
+from docgeo.session import ship_package, written
 
 
 def _best_order():
@@ -145,10 +145,10 @@ def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | No
     deduplicated and written down (with the new ones, marked); the rest of the cache is neither copied nor sorted. ``place``
     adds country and continent to rows with coordinates: to the new ones, and to known ones if the cache lacks them.
     """
-    names = cut_lineage(strip_name_braces(doc_location))
+    names = written(strip_name_braces(doc_location), "names")
     misses = cache_misses(names, cache)
     if resolver is not None:
-        resolved = cut_lineage(resolve_with(misses, resolver))  # asked once, whatever reads the answers
+        resolved = written(resolve_with(misses, resolver), "resolved")  # asked once, whatever reads the answers
     elif gazetteer is not None:
         resolved = resolve_offline(misses, gazetteer)
     else:
@@ -159,6 +159,6 @@ def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | No
     if place:
         resolved, hits = place(resolved), hits if known else place(hits)
     marked = hits.withColumn("_new", F.lit(False)).unionByName(resolved.withColumn("_new", F.lit(True)), allowMissingColumns=True)
-    used = cut_lineage(one_per_query(marked))
+    used = written(one_per_query(marked), "used")
     resolved = used.where("_new").drop("_new")
     return Geocoded(attach_coordinates(names, used, unique=True), update_cache(cache, resolved), unresolved_names(names, used), resolved)

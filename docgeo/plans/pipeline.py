@@ -26,7 +26,7 @@ from docgeo.operators import metadata as M
 from docgeo.operators import scan as S
 from docgeo.operators import whitelist as W
 from docgeo.plans.fixtures import DEFAULT_REMOVAL_RULES
-from docgeo.session import cut_lineage
+from docgeo.session import written
 
 
 @dataclass
@@ -60,7 +60,7 @@ def scanned(inp: Inputs) -> Inputs:
     choice of languages nor anything after it reads the texts again."""
     if inp.hits is not None:
         return inp
-    return replace(inp, hits=cut_lineage(S.text_hits(inp.docs, inp.lexicon, inp.profile)))
+    return replace(inp, hits=written(S.text_hits(inp.docs, inp.lexicon, inp.profile), "hits"))
 
 
 def detected(inp: Inputs) -> DataFrame:
@@ -83,9 +83,14 @@ def consolidated(inp: Inputs, max_n: int | None = None) -> DataFrame:
     return E.consolidate(candidates(inp), max_n)
 
 
+def combined(inp: Inputs, max_n: int | None = None) -> DataFrame:
+    """Consolidated, tag-filtered mentions of all models; what is consolidated is written down, as it is read twice."""
+    return E.combine_models(written(E.keep_tags(consolidated(inp, max_n), inp.tags), "mentions"))
+
+
 def mentions(inp: Inputs, max_n: int | None = None) -> DataFrame:
     """Consolidated, tag-filtered, model-combined, cleaned mentions."""
-    return E.clean_names(E.combine_models(E.keep_tags(consolidated(inp, max_n), inp.tags)))
+    return E.clean_names(combined(inp, max_n))
 
 
 def doc_locations(inp: Inputs) -> DataFrame:

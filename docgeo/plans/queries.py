@@ -98,8 +98,7 @@ def q_combined_models(spark, d):
     fx = Fixtures(spark, d)
     docs = fx.bilingual_documents().withColumn("file_name", F.lit(None).cast("string"))
     inp = _inputs(fx, docs=docs, lexicon=fx.multilingual_lexicon())
-    m = E.combine_models(E.keep_tags(P.consolidated(inp)))
-    return m.select("doc_id", "model_rank", "pos", "len", "token", "lemma", "entity_type")
+    return P.combined(inp).select("doc_id", "model_rank", "pos", "len", "token", "lemma", "entity_type")
 
 
 def q_clean_names(spark, d):
