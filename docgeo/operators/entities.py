@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgeo.functions.text import WORD_PATTERN, clean_name, newline_to_blank
-from docgeo.operators.scan import candidates, longest_entry, prepare_lexicon, text_hits  # noqa: F401
+from docgeo.operators.scan import candidates, longest_entry, packed_hits, prepare_lexicon, text_hits  # noqa: F401
 
 # Entity tags the workflow keeps as places.
 PLACE_TAGS = ("LOC", "GPE")
@@ -36,7 +36,7 @@ def tag_entities(
     Every run of tokens that the lexicon lists for a language chosen for the document (``languages``: doc_id, code,
     model_rank). Only the hits are shuffled, to meet the per-document language choice.
     """
-    return candidates(text_hits(docs, lexicon, None, max_n, pattern), languages)
+    return candidates(packed_hits(docs, lexicon, None, max_n, pattern), languages)
 
 
 def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:

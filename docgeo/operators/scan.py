@@ -96,21 +96,15 @@ def token_windows(docs: DataFrame, max_n: int, pattern: str = WORD_PATTERN, word
     return z.select("doc_id", "counted", F.posexplode(F.arrays_zip(*[F.col(f"t{k}") for k in range(max_n)])).alias("pos", "z"))
 
 
-def text_hits(
+def packed_hits(
     docs: DataFrame,
     lexicon: DataFrame,
     profile: DataFrame | None = None,
     max_n: int | None = None,
     pattern: str = WORD_PATTERN,
 ) -> DataFrame:
-    """What the texts hold (``HIT_COLUMNS``), from a single scan of them:
-
-    * lexicon hits: every run of tokens that is a name, for every language that lists it (``code`` is NULL);
-    * with a ``profile``, per document and language ``code`` the number ``n`` of tokens that are profile words.
-
-    Of a text, nothing but its counts and the runs that pass the filter of names is shuffled. A text without hits, an empty
-    or a NULL one has no row.
-    """
+    """``text_hits`` with one row per run of tokens that is a name, whatever the number of languages that list it: these are in
+    ``listed``, [(lang, lemma, entity_type)]. As names are shuffled so, what travels grows with the texts, not with the lexicon."""
     if max_n is None:
         max_n = longest_entry(lexicon, pattern)
     lex = prepare_lexicon(lexicon, pattern)
@@ -134,13 +128,39 @@ def text_hits(
     if profile is not None:
         rows = F.concat(rows, F.when(first, F.col("counted")).otherwise(F.array().cast(FOUND)))
     found = windows.where(anything).select("doc_id", F.explode(rows).alias("x")).where(F.col("x").isNotNull()).select("doc_id", "x.*")
-    named = lex.select("gram", "len", "lang", "lemma", "entity_type")
+    one = F.struct("lang", "lemma", "entity_type")
+    named = (lex if profile is None else lex.where(F.col("lang").isNotNull())).groupBy("gram", "len").agg(F.sort_array(F.collect_list(one)).alias("listed"))
     if profile is None:
-        return found.join(named, ["gram", "len"]).select(*[F.col("gram").alias(c) if c == "token" else F.col(c) for c in HIT_COLUMNS])
-    hits = found.join(named, ["gram", "len"], "left").where(F.col("code").isNotNull() | F.col("lang").isNotNull())
-    # rows of one name lie together after the join: equal ones (of a document that is there twice, say) are put together there
-    hits = hits.groupBy("doc_id", "code", "lang", "pos", "len", "gram", "lemma", "entity_type").agg(F.sum("n").alias("n"))
-    return hits.withColumn("token", F.when(F.col("code").isNull(), F.col("gram"))).select(*HIT_COLUMNS)
+        hits = found.join(named, ["gram", "len"])
+    else:
+        hits = found.join(named, ["gram", "len"], "left").where(F.col("code").isNotNull() | F.col("listed").isNotNull())
+        # rows of one name lie together after the join: equal ones (of a document that is there twice, say) are put together there
+        hits = hits.withColumn("listed", F.array_distinct("listed")).groupBy("doc_id", "code", "pos", "len", "gram", "listed").agg(F.sum("n").alias("n"))
+    return hits.select("doc_id", "code", "n", "pos", "len", F.when(F.col("code").isNull(), F.col("gram")).alias("token"), "listed")
+
+
+def unpacked(hits: DataFrame) -> DataFrame:
+    """The rows of ``packed_hits`` by language (``HIT_COLUMNS``)."""
+    rest = [c for c in hits.columns if c != "listed"]
+    return hits.select(*rest, F.explode_outer("listed").alias("x")).select(*rest, "x.*").select(*HIT_COLUMNS)
+
+
+def text_hits(
+    docs: DataFrame,
+    lexicon: DataFrame,
+    profile: DataFrame | None = None,
+    max_n: int | None = None,
+    pattern: str = WORD_PATTERN,
+) -> DataFrame:
+    """What the texts hold (``HIT_COLUMNS``), from a single scan of them:
+
+    * lexicon hits: every run of tokens that is a name, for every language that lists it (``code`` is NULL);
+    * with a ``profile``, per document and language ``code`` the number ``n`` of tokens that are profile words.
+
+    Of a text, nothing but its counts and the runs that pass the filter of names is shuffled. A text without hits, an empty
+    or a NULL one has no row.
+    """
+    return unpacked(packed_hits(docs, lexicon, profile, max_n, pattern))
 
 
 def profile_counts(hits: DataFrame) -> DataFrame:
@@ -149,8 +169,12 @@ def profile_counts(hits: DataFrame) -> DataFrame:
 
 
 def candidates(hits: DataFrame, languages: DataFrame) -> DataFrame:
-    """Entity candidates (doc_id, model_rank, pos, len, token, lemma, entity_type): the lexicon hits in the languages chosen
-    for their document (``languages``: doc_id, code, model_rank)."""
+    """Entity candidates (doc_id, model_rank, pos, len, token, lemma, entity_type): the lexicon hits, packed or not, in the
+    languages chosen for their document (``languages``: doc_id, code, model_rank)."""
     chosen = languages.select("doc_id", F.col("code").alias("lang"), "model_rank")
     named = hits.where(F.col("code").isNull()).drop("code", "n")
+    if "listed" in hits.columns:
+        # a row for each of the document's languages, and what that language lists
+        named = named.join(chosen, "doc_id").select("*", F.explode(F.filter("listed", lambda x: x["lang"] == F.col("lang"))).alias("x"))
+        return named.select("doc_id", "model_rank", "pos", "len", "token", "x.lemma", "x.entity_type")
     return named.join(chosen, ["doc_id", "lang"]).select("doc_id", "model_rank", "pos", "len", "token", "lemma", "entity_type")

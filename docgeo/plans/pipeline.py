@@ -60,7 +60,7 @@ def scanned(inp: Inputs) -> Inputs:
     choice of languages nor anything after it reads the texts again."""
     if inp.hits is not None:
         return inp
-    return replace(inp, hits=written(S.text_hits(inp.docs, inp.lexicon, inp.profile), "hits"))
+    return replace(inp, hits=written(S.packed_hits(inp.docs, inp.lexicon, inp.profile), "hits"))
 
 
 def detected(inp: Inputs) -> DataFrame:
