@@ -45,10 +45,12 @@ def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:
     Scanning left to right, a span is kept when it starts at or after the end of the last kept span; among spans
     with one start the longest wins, then the lowest lemma and type. ``max_n``: length of the longest span.
 
-    A document is cut into blocks of ``BLOCK`` positions, each a group of its own, so a long document spreads over tasks.
-    The scan of a block depends on the ones before it only by how far the last kept span reaches into it, less than
+    A document is cut into blocks of ``BLOCK`` positions, each a group of its own, so no group holds a long document. The scan of a block depends on the ones before it only by how far the last kept span reaches into it, less than
     ``max_n`` positions. Blocks with a span that sticks out (few) tell that for every reach they may meet themselves, and
     one small fold per document strings these answers together. Column expressions only.
+
+    The answers meet the blocks by document: candidates that lie together by ``doc_id`` (those of ``scan.candidates``) are
+    not shuffled again, and what comes out still lies together by ``doc_id``.
     """
     size, reach = max(BLOCK, max_n), max(1, max_n)
     rest = [c for c in candidates.columns if c not in (*KEY, "pos", "len", "lemma", "entity_type")]
@@ -76,7 +78,8 @@ def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:
         return F.struct(x["block"].alias("block"), out.alias("into"), F.concat(done["all"], F.array(F.struct((x["block"] + 1).alias("block"), out.alias("into")))).alias("all"))
 
     strung = F.aggregate("chain", F.struct(F.lit(-2).alias("block"), F.lit(0).alias("into"), nothing.alias("all")), string)["all"]
-    entered = chain.select(*KEY, F.explode(strung).alias("x")).select(*KEY, "x.block", "x.into").where(F.col("into") > 0)
+    # of a document, and so with its rank and block beside it
+    entered = chain.select("doc_id", F.struct("model_rank", strung.alias("all")).alias("x")).groupBy("doc_id").agg(F.collect_list("x").alias("entered"))
 
     kind = {f.name: f.dataType.simpleString() for f in candidates.schema}
     names = ["pos", "back", "lemma", "entity_type", *rest]
@@ -86,9 +89,15 @@ def consolidate(candidates: DataFrame, max_n: int) -> DataFrame:
         kept = F.struct(end(s).alias("end"), F.concat(done["kept"], F.array(s)).alias("kept"))
         return F.when(s["pos"] >= done["end"], kept).otherwise(done)
 
-    begin = start + F.coalesce("into", F.lit(0))
+    of_rank = F.filter("entered", lambda x: x["model_rank"] == F.col("model_rank"))
+    into = F.aggregate(
+        F.flatten(F.transform(of_rank, lambda x: x["all"])),
+        F.lit(0),
+        lambda done, x: F.when(x["block"] == F.col("block"), x["into"]).otherwise(done),
+    )
+    begin = start + F.coalesce(into, F.lit(0))
     kept = F.aggregate(spans, F.struct(begin.alias("end"), none.alias("kept")), keep)["kept"]
-    out = blocks.join(entered, [*KEY, "block"], "left").select(*KEY, F.explode(kept).alias("s"))
+    out = blocks.join(entered, "doc_id", "left").select(*KEY, F.explode(kept).alias("s"))
     return out.select(*[F.col(c) if c in KEY else (-F.col("s.back")).alias("len") if c == "len" else F.col(f"s.{c}") for c in candidates.columns])
 
 
@@ -100,10 +109,12 @@ def combine_models(mentions: DataFrame) -> DataFrame:
     """Keep a later model's mentions only for tokens no earlier model found in that document (cumulative).
 
     Equals repeated anti joins against the tokens of all earlier models: a row survives iff its model_rank is
-    the smallest rank that produced its token. The minimum is a pre-aggregated semi join, safe for hot tokens.
+    the smallest rank that produced its token. A window holds a token of one document; mentions that lie together by
+    ``doc_id`` are not shuffled for it. Rows without doc_id, token or rank drop out.
     """
-    first = mentions.groupBy("doc_id", "token").agg(F.min("model_rank").alias("model_rank"))
-    return mentions.join(first, ["doc_id", "token", "model_rank"], "left_semi").select(*mentions.columns)
+    first = F.min("model_rank").over(Window.partitionBy("doc_id", "token"))
+    whole = mentions.where(F.col("doc_id").isNotNull() & F.col("token").isNotNull())
+    return whole.withColumn("_first", first).where(F.col("model_rank") == F.col("_first")).select(*mentions.columns)
 
 
 def clean_names(mentions: DataFrame) -> DataFrame:

@@ -35,6 +35,12 @@ def strip_name_braces(doc_location: DataFrame) -> DataFrame:
     )
 
 
+def without_braces(mentions: DataFrame) -> DataFrame:
+    """Mentions with ``{`` and ``}`` removed from the lemma; empty ones drop out. Counted then (``entities.name_frequencies``),
+    they give what ``strip_name_braces`` makes of the counts, in one grouping."""
+    return mentions.withColumn("lemma", strip_braces("lemma")).where(F.length("lemma") > 0)
+
+
 def distinct_names(doc_location: DataFrame) -> DataFrame:
     """Corpus-wide list of names to look up: each name travels once, however many documents mention it."""
     return doc_location.select(F.col("location").alias("query")).distinct()
@@ -138,14 +144,15 @@ class Geocoded:
         return (self.doc_geo, self.new_cache, self.unresolved, self.resolved)[i]
 
 
-def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | None = None, resolver=None, place: Callable[[DataFrame], DataFrame] | None = None) -> Geocoded:
+def geocode(doc_location: DataFrame, cache: DataFrame, gazetteer: DataFrame | None = None, resolver=None, place: Callable[[DataFrame], DataFrame] | None = None, stripped: bool = False) -> Geocoded:
     """Whole geocoding step.
 
     Misses are collected over the whole corpus and resolved once. Only the cache rows of the corpus's own names are picked,
     deduplicated and written down (with the new ones, marked); the rest of the cache is neither copied nor sorted. ``place``
-    adds country and continent to rows with coordinates: to the new ones, and to known ones if the cache lacks them.
+    adds country and continent to rows with coordinates: to the new ones, and to known ones if the cache lacks them. ``stripped``: the
+    names have no braces any more (``without_braces``).
     """
-    names = written(strip_name_braces(doc_location), "names")
+    names = written(doc_location if stripped else strip_name_braces(doc_location), "names")
     misses = cache_misses(names, cache)
     if resolver is not None:
         resolved = written(resolve_with(misses, resolver), "resolved")  # asked once, whatever reads the answers

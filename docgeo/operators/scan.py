@@ -7,13 +7,20 @@ their task to meet the lexicon itself, and only runs of a length that occurs are
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgeo.functions.text import WORD_PATTERN, tokens
 
-# Bits of the filter of names: a megabyte. More names make it let through more that is none; nothing is ever missed.
+# Bits of the filter of names: a megabyte, or as many as MOST times that if there are more names than so many bits to each.
+# Yet more names make it let through more that is none; nothing is ever missed.
 FILTER_BITS = 1 << 23
+NAME_BITS = 32
+MOST = 4
+# A name sets so many bits of one number of the filter: a run that is none seldom finds them all set.
+PLACES = 3
 
 FOUND = "array<struct<code:string,n:bigint,pos:int,len:int,gram:string>>"
 HIT_COLUMNS = ["doc_id", "code", "n", "lang", "pos", "len", "token", "lemma", "entity_type"]
@@ -38,16 +45,30 @@ def longest_entry(lexicon: DataFrame, pattern: str = WORD_PATTERN) -> int:
     return int(row[0] or 1)
 
 
-def _slot(*values: Column) -> Column:
-    return F.pmod(F.xxhash64(*values), F.lit(FILTER_BITS))
+def filter_bits(names: int) -> int:
+    """Bits of the filter for so many names: a power of two between ``FILTER_BITS`` and ``MOST`` times that."""
+    bits = FILTER_BITS
+    while bits < min(names * NAME_BITS, FILTER_BITS * MOST):
+        bits *= 2
+    return bits
+
+
+def _at(key: Column, n_bits: int) -> Column:
+    return F.pmod(key, F.lit(n_bits // 64))
+
+
+def _mask(key: Column) -> Column:
+    """The bits that a key sets in its number, from those bits of the key that ``_at`` leaves."""
+    places = [F.shiftrightunsigned(key, 40 + 6 * i) % 64 for i in range(PLACES)]
+    return reduce(Column.bitwiseOR, [F.call_function("shiftleft", F.lit(1).cast("long"), p.cast("int")) for p in places])
 
 
-def name_filter(prepared: DataFrame) -> DataFrame:
-    """One row with ``bits``, an array of ``FILTER_BITS`` / 64 numbers: a bit is set for the hash of every name, and one for
+def name_filter(prepared: DataFrame, n_bits: int) -> DataFrame:
+    """One row with ``bits``, an array of ``n_bits`` / 64 numbers: bits are set for the hash of every name, and for that of
     its first token and length, so that runs that cannot be a name are not even built."""
-    slots = prepared.select(F.explode(F.array(_slot(F.col("gram")), _slot(F.col("first"), F.col("len")))).alias("slot"))
-    words = slots.select(F.expr("slot div 64").alias("at"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bits"))
-    empty = prepared.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits"))
+    keys = prepared.select(F.explode(F.array(F.xxhash64("gram"), F.xxhash64("first", "len"))).alias("key"))
+    words = keys.select(_at(F.col("key"), n_bits).alias("at"), _mask(F.col("key")).alias("bits"))
+    empty = prepared.sparkSession.range(n_bits // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits"))
     full = empty.unionByName(words).groupBy("at").agg(F.bit_or("bits").alias("bits"))
     return full.agg(F.array_sort(F.collect_list(F.struct("at", "bits"))).alias("a")).select(F.col("a.bits").alias("bits"))
 
@@ -108,12 +129,13 @@ def packed_hits(
     if max_n is None:
         max_n = longest_entry(lexicon, pattern)
     lex = prepare_lexicon(lexicon, pattern)
-    bits = name_filter(lex).scalar()
+    n_bits = filter_bits(lex.select("gram").distinct().count())
+    bits = name_filter(lex, n_bits).scalar()
     windows = token_windows(docs, max_n, pattern, None if profile is None else _profile_tokens(profile))
 
     def may_be(*values: Column) -> Column:
-        slot = _slot(*values)
-        return F.getbit(F.get(bits, F.shiftright(slot, 6).cast("int")), (slot % 64).cast("int")) == 1
+        key = F.xxhash64(*values)
+        return F.get(bits, _at(key, n_bits).cast("int")).bitwiseAND(_mask(key)) == _mask(key)
 
     def passes(n: int) -> Column:
         return may_be(_gram(1)) if n == 1 else F.col(f"z.t{n - 1}").isNotNull() & may_be(F.col("z.t0"), F.lit(n)) & may_be(_gram(n))
@@ -170,11 +192,12 @@ def profile_counts(hits: DataFrame) -> DataFrame:
 
 def candidates(hits: DataFrame, languages: DataFrame) -> DataFrame:
     """Entity candidates (doc_id, model_rank, pos, len, token, lemma, entity_type): the lexicon hits, packed or not, in the
-    languages chosen for their document (``languages``: doc_id, code, model_rank)."""
+    languages chosen for their document (``languages``: doc_id, code, model_rank). Packed hits are always dealt by ``doc_id``,
+    whatever the size of the table of languages: all that follows, up to the names of a document, needs no other shuffle."""
     chosen = languages.select("doc_id", F.col("code").alias("lang"), "model_rank")
     named = hits.where(F.col("code").isNull()).drop("code", "n")
     if "listed" in hits.columns:
         # a row for each of the document's languages, and what that language lists
-        named = named.join(chosen, "doc_id").select("*", F.explode(F.filter("listed", lambda x: x["lang"] == F.col("lang"))).alias("x"))
+        named = named.join(chosen.hint("merge"), "doc_id").select("*", F.explode(F.filter("listed", lambda x: x["lang"] == F.col("lang"))).alias("x"))
         return named.select("doc_id", "model_rank", "pos", "len", "token", "x.lemma", "x.entity_type")
     return named.join(chosen, ["doc_id", "lang"]).select("doc_id", "model_rank", "pos", "len", "token", "lemma", "entity_type")

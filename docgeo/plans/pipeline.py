@@ -84,8 +84,8 @@ def consolidated(inp: Inputs, max_n: int | None = None) -> DataFrame:
 
 
 def combined(inp: Inputs, max_n: int | None = None) -> DataFrame:
-    """Consolidated, tag-filtered mentions of all models; what is consolidated is written down, as it is read twice."""
-    return E.combine_models(written(E.keep_tags(consolidated(inp, max_n), inp.tags), "mentions"))
+    """Consolidated, tag-filtered mentions of all models; they lie together by document since the hits met their languages."""
+    return E.combine_models(E.keep_tags(consolidated(inp, max_n), inp.tags))
 
 
 def mentions(inp: Inputs, max_n: int | None = None) -> DataFrame:
@@ -97,11 +97,16 @@ def doc_locations(inp: Inputs) -> DataFrame:
     return E.name_frequencies(mentions(inp))
 
 
+def lookup_names(inp: Inputs) -> DataFrame:
+    """``doc_locations`` without braces: what is looked up."""
+    return E.name_frequencies(G.without_braces(mentions(inp)))
+
+
 def geocoded(inp: Inputs, locate: bool = False) -> G.Geocoded:
     """Names with coordinates, the new cache, what is unresolved, and the new cache rows; with ``locate`` also country and
     continent, once per name (known names of a located cache need no lookup)."""
     place = (lambda rows: N.enrich(rows, inp.boundaries)) if locate and inp.boundaries is not None else None
-    return G.geocode(doc_locations(inp), inp.cache, inp.gazetteer, inp.resolver, place)
+    return G.geocode(lookup_names(inp), inp.cache, inp.gazetteer, inp.resolver, place, stripped=True)
 
 
 def scored(inp: Inputs, geo: G.Geocoded | None = None) -> DataFrame:

@@ -117,7 +117,7 @@ def q_top_names_per_doc(spark, d):
 
 
 def _names(inp):
-    return G.strip_name_braces(P.doc_locations(inp))
+    return P.lookup_names(inp)
 
 
 def q_cache_hits(spark, d):

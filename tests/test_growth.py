@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docgeo.operators import confidence as C
+from docgeo.operators import geocode as G
 from docgeo.operators import scan as S
 from docgeo.plans import fixtures as X
 from docgeo.plans import pipeline as P
@@ -104,3 +105,35 @@ def test_names_in_two_documents(plain):
     assert sorted(map(str, got)) == sorted(map(str, want)) and (2, "Beta Gamma", None) in want
     many = plain.range(0, 400, 1, 2).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("Alpha Beta Gamma").alias("text"))
     assert shuffled(X._names(many)) <= 5 * 4 + 5  # by name and task, not by document
+
+
+def test_hits_are_dealt_once_by_document(plain):
+    """From the hits to the names of a document nothing is dealt by another key."""
+    docs, lexicon, profile = inputs(plain)
+    inp = P.scanned(P.Inputs(docs=docs, lexicon=lexicon, cache=None, profile=profile))
+    names = P.lookup_names(inp)
+    plan = names._jdf.queryExecution().executedPlan().toString()
+    keys = {re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\((.*?), \d+\)", plan)}
+    assert keys == {"doc_id", "code"}  # code: the list of languages
+    assert sorted(map(tuple, names.collect())) == sorted((d, n, 1) for d in range(50) for n in ("Bonn", "New York"))
+
+
+def test_braces_go_before_names_are_counted(spark):
+    docs = spark.createDataFrame([(1, "Bonn und Rom und Ulm"), (1, "Rom"), (2, "Ulm Bonn")], "doc_id long, text string")
+    listed = [("de", "Bonn", "{Rom}", "GPE"), ("de", "Rom", "Rom", "LOC"), ("de", "Ulm", "{}{", "GPE")]
+    profile = spark.createDataFrame([("und", "de")], "word string, lang string")
+    inp = P.Inputs(docs=docs, lexicon=spark.createDataFrame(listed, LEXICON), cache=None, profile=profile)
+    want = sorted(map(tuple, G.strip_name_braces(P.doc_locations(inp)).collect()))
+    assert sorted(map(tuple, P.lookup_names(inp).collect())) == want and want
+
+
+def test_the_filter_grows_with_the_names(plain, monkeypatch):
+    monkeypatch.setattr(S, "FILTER_BITS", 1 << 12)
+
+    def words(letter: str, n: int):
+        return plain.range(n).select(F.concat(F.lit(letter), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("w"))
+
+    lexicon = words("N", 300).select(F.lit("en").alias("lang"), F.col("w").alias("surface"), F.col("w").alias("lemma"), F.lit("GPE").alias("entity_type"))
+    docs = words("x", 20_000).select(F.lit(1).cast("long").alias("doc_id"), F.col("w").alias("text"))
+    assert S.text_hits(docs, lexicon).count() == 0
+    assert shuffled(S.text_hits(docs, lexicon)) < 1200  # 300 names, and few of 20,000 words
