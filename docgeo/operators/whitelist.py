@@ -58,18 +58,14 @@ def condense(whitelist: DataFrame, mode: str = "name", averages: DataFrame | Non
     if mode == "name":
         keys = ["id", "location"]
         wl = wl.where(F.col("id").isNotNull() & F.col("location").isNotNull())
-        order = _order("location")
+        order = _order()  # the location is a key
         conf = averages if averages is not None else wl.groupBy("location").agg(avg_strict("confidence").alias("confidence"))
         main = wl.groupBy(*keys).agg(
             F.sum("frequency").alias("frequency"),
-            first_by("lat", order).alias("lat"),
-            first_by("lon", order).alias("lon"),
-            first_by("class", order).alias("class"),
-            first_by("type", order).alias("type"),
             avg_strict("importance").alias("importance"),
-            first_by("country", order).alias("country"),
-            first_by("continent", order).alias("continent"),
-        )
+            # one value, so that its order is kept (and shuffled) once
+            first_by(F.struct("lat", "lon", "class", "type", "country", "continent"), order).alias("first"),
+        ).select(*keys, "frequency", "importance", "first.*")
         return main.join(conf, "location").select(*WHITELIST_COLUMNS)
     if mode == "coords":
         keys = ["id", "lat", "lon"]
@@ -79,12 +75,8 @@ def condense(whitelist: DataFrame, mode: str = "name", averages: DataFrame | Non
         main = wl.groupBy(*keys).agg(
             F.mode("location", deterministic=True).alias("location"),
             F.sum("frequency").alias("frequency"),
-            first_by("class", order).alias("class"),
-            first_by("type", order).alias("type"),
-            first_by("importance", order).alias("importance"),
-            first_by("country", order).alias("country"),
-            first_by("continent", order).alias("continent"),
-        )
+            first_by(F.struct("class", "type", "importance", "country", "continent"), order).alias("first"),
+        ).select(*keys, "location", "frequency", "first.*")
         return main.join(conf, ["lat", "lon"]).select(*WHITELIST_COLUMNS)
     raise ValueError(f"mode must be 'name' or 'coords', not {mode!r}")
 

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from docgeo.operators import confidence as C
 from docgeo.operators import geocode as G
 from docgeo.operators import scan as S
+from docgeo.operators import whitelist as W
 from docgeo.plans import fixtures as X
 from docgeo.plans import pipeline as P
 
 LEXICON = "lang string, surface string, lemma string, entity_type string"
+W_LEDGER = "id string, location string, frequency long, lat double, lon double, class string, type string, importance double, country string, continent string, confidence double, doc_id long, _seq int"
 
 
 @pytest.fixture()
@@ -137,3 +139,10 @@ def test_the_filter_grows_with_the_names(plain, monkeypatch):
     docs = words("x", 20_000).select(F.lit(1).cast("long").alias("doc_id"), F.col("w").alias("text"))
     assert S.text_hits(docs, lexicon).count() == 0
     assert shuffled(S.text_hits(docs, lexicon)) < 1200  # 300 names, and few of 20,000 words
+
+
+def test_first_rows_keep_one_order(plain):
+    ledger = plain.createDataFrame([], W_LEDGER)
+    for mode in ("name", "coords"):
+        plan = W.condense(ledger, mode)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("min_by(") == 1
