@@ -1,7 +1,7 @@
 """One scan of the texts for everything that is looked up in them: language profile words and lexicon names.
 
-A text is tokenised once. Profile words are counted in the row of their text. Its token runs meet a filter of fixed size, a
-bit per hash of a name, whatever the size of the lexicon; only runs that pass it (all names, and others by chance) leave
+A text is tokenised once. Profile words are counted in the row of their text. Its token runs meet a filter of bounded
+size, a few bits per name; only runs that pass it (all names, and others by chance) leave
 their task to meet the lexicon itself, and only runs of a length that occurs are built.
 """
 
